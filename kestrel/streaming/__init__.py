@@ -1,0 +1,9 @@
+"""Streaming jobs.
+
+The surveyed programs contain no streaming work (no watermark, window,
+stateful or late-data code), so nothing lives here yet.  Every batch
+operator in this package is written with DataFrame expressions only, so
+it can be applied unchanged to a ``readStream`` DataFrame where the
+operator is streaming-compatible (scans, parsing, projections, filters,
+stream-static joins and aggregations under a watermark).
+"""
