@@ -1 +1,144 @@
-"""Queries."""
+"""Queries: classification and recommender models (rows-only checks).
+
+Model fits have no SQL counterpart; these queries are checked on row
+counts and schema by the driver and on invariants by the tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kestrel.operators import classify
+from kestrel.operators import recommend as rec
+from kestrel.operators.features import RECIPES, prepare
+from kestrel.plans import derived as D
+from kestrel.plans.fixtures import view
+from kestrel.plans.q_relational import heaviest_user, rating_split
+from kestrel.plans.registry import query
+from kestrel.session import scratch_path
+
+LR_RECIPES = ("class_gender", "class_gender_sibsp", "class_gender_sibsp_parch_fare", "class_gender_fare",
+              "class_gender_sibsp_fare", "class_gender_family", "class_gender_age")
+RUNS = {  # name -> (recipe, estimator kind, segment column)
+    **{f"lr_{r}": (r, "lr", None) for r in LR_RECIPES},
+    "lr_segmented_family": ("class_gender_family", "lr", "Gender"),
+    "dt_class_gender_family": ("class_gender_family", "dt", None),
+    "rf_class_gender_family": ("class_gender_family", "rf", None),
+    "rf_class_gender_fare": ("class_gender_fare", "rf", None),
+}
+
+
+def _run(spark, sf, name):
+    recipe_name, kind, segment = RUNS[name]
+    recipe = RECIPES[recipe_name]
+    prepared = prepare(D.passengers(spark, sf), recipe)
+    return classify.run_classifier(prepared, recipe, kind, scratch_path(spark, f"pred-{name}"), segment)
+
+
+def _prediction_query(name):
+    def build(spark, sf):
+        return _run(spark, sf, name).predictions
+
+    build.__name__ = f"q_{name}"
+    return build
+
+
+_RUN_OPS = {"lr": "M04 M10 M17 S11 M03", "dt": "M06 M10 M17 S11", "rf": "M07 M10 M17 S11"}
+for _n, (_r, _k, _s) in RUNS.items():
+    query(_n, None, _RUN_OPS[_k] + (" M08" if _s else ""))(_prediction_query(_n))
+
+
+@query("classifier_validation", None, "E01 E02 M17 X01")
+def q_classifier_validation(spark, sf):
+    """Validation metrics of every model run that has a validation split."""
+    parts = []
+    for name in RUNS:
+        res = _run(spark, sf, name)
+        if res.validation is not None:
+            parts.append(res.validation.select(F.lit(name).alias("run"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("model_weights", None, "M19")
+def q_model_weights(spark, sf):
+    parts = []
+    for name in ("lr_class_gender_sibsp_parch_fare", "lr_segmented_family", "rf_class_gender_fare"):
+        recipe = RECIPES[RUNS[name][0]]
+        parts.append(classify.weights(spark, _run(spark, sf, name).model, recipe.features, name))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("score_messages", None, "M01 M05 M18 U02 P08")
+def q_score_messages(spark, sf):
+    msgs = view(spark, sf, "messages")
+    model, tf = classify.text_classifier(msgs.withColumn("label", F.col("label")))
+    return classify.score_texts(model, tf, msgs).select("doc_id", "label", "prediction")
+
+
+# ------------------------------------------------------------------ recommender
+
+
+def _als(spark, sf, **kw):
+    train, held = rating_split(spark, sf)
+    return rec.fit_als(train, **kw), train, held
+
+
+@query("als_pairs", None, "M09 M11 J07")
+def q_als_pairs(spark, sf):
+    model, _, held = _als(spark, sf)
+    return rec.als_scorer(model)(held.select("user", "item"))
+
+
+@query("als_auc", None, "M09 E03 X04")
+def q_als_auc(spark, sf):
+    model, _, held = _als(spark, sf)
+    items = D.ratings(spark, sf).select("item").distinct()
+    return rec.evaluate_auc(held, items, rec.als_scorer(model), seed=7)
+
+
+def _first_users(spark, sf, n=100):
+    # distinct().take(100) made deterministic: the 100 smallest user ids
+    return D.ratings(spark, sf).select("user").distinct().orderBy("user").limit(n)
+
+
+@query("recommend_top5", None, "M13 L03")
+def q_recommend_top5(spark, sf):
+    model = rec.fit_als(D.ratings(spark, sf))
+    return rec.recommend(model, _first_users(spark, sf), 5)
+
+
+@query("recommend_text", None, "M13 C12")
+def q_recommend_text(spark, sf):
+    model = rec.fit_als(D.ratings(spark, sf))
+    return rec.format_recommendations(rec.recommend(model, _first_users(spark, sf), 5))
+
+
+@query("spot_check", None, "M12 F08 J05 L03")
+def q_spot_check(spark, sf):
+    ratings = D.ratings(spark, sf)
+    model = rec.fit_als(ratings)
+    return rec.spot_check(spark, model, ratings, D.items(spark, sf), heaviest_user(D.plays(spark, sf)))
+
+
+@query("cv_auc", None, "M15 X03 A17")
+def q_cv_auc(spark, sf):
+    ratings = D.ratings(spark, sf)
+    folds = rec.cross_validated_auc(ratings, ratings.select("item").distinct(), k=10, seed=500)
+    return folds.agg(F.avg("mean_auc").alias("cv_mean_auc"), F.count(F.lit(1)).alias("folds"))
+
+
+# fixed values: a corner of the original rank x lambda x alpha grid (alpha 40, 10 iterations)
+GRID_RANKS, GRID_LAMBDAS, GRID_ALPHAS = (10, 50), (1.0, 100.0), (40.0,)
+
+
+@query("grid_auc", None, "M16 L05")
+def q_grid_auc(spark, sf):
+    train, held = rating_split(spark, sf)
+    items = D.ratings(spark, sf).select("item").distinct()
+    return rec.grid_search(train, held, items, GRID_RANKS, GRID_LAMBDAS, GRID_ALPHAS, max_iter=10)
