@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import null_to_zero
 from kestrel.operators.ranking import keyed_prefix_sums
+from kestrel.session import cut_lineage
 
 
 def error_rate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -58,7 +59,9 @@ def user_auc(pos_scored: DataFrame, neg_scored: DataFrame, user: str = "user",
                               F.lit(1).cast("bigint").alias("np"), F.lit(0).cast("bigint").alias("nn"))
             .unionByName(neg_scored.select(F.col(user).alias("user"), F.col(score).alias("score"),
                                            F.lit(0).cast("bigint").alias("np"), F.lit(1).cast("bigint").alias("nn"))))
-    levels = rows.groupBy("user", "score").agg(F.sum("np").alias("np"), F.sum("nn").alias("nn"))
+    # one row per (user, score level), written once: the hot-key check and the
+    # ranking both read it instead of re-running the scoring upstream
+    levels = cut_lineage(rows.groupBy("user", "score").agg(F.sum("np").alias("np"), F.sum("nn").alias("nn")))
     below = keyed_prefix_sums(levels, "user", "score", ["nn"])
     per_user = below.groupBy("user").agg(
         F.sum("np").alias("n_pos"), F.sum("nn").alias("n_neg"),

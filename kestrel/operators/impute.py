@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.joins import broadcast_if_small
 
 
 def group_means(fit: DataFrame, value: str, keys: Sequence[str], out: str = "mean") -> DataFrame:
@@ -24,10 +23,10 @@ def impute_group_mean(df: DataFrame, value: str, keys: Sequence[str],
 
     ``fit`` is the table the means come from (by default ``df`` itself; the
     recipes pass train ∪ test, as the original does).  The means table has
-    one row per distinct key, so it is broadcast after a row-count check;
-    the big side is never shuffled.
+    one row per distinct key; AQE broadcasts it once its measured size is
+    known, so the big side is not shuffled.
     """
-    means = broadcast_if_small(group_means(fit if fit is not None else df, value, keys, "_gm"))
+    means = group_means(fit if fit is not None else df, value, keys, "_gm")
     joined = df.join(means, list(keys), "left")
     return joined.select(*[F.coalesce(F.col(c), F.col("_gm")).alias(c) if c == value else F.col(c)
                            for c in df.columns])

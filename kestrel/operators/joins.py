@@ -1,8 +1,12 @@
 """Lookup, membership and exclusion joins.
 
-Small lookup sides are broadcast only after their row count has been
-checked against a bound; beyond it the join stays a shuffle join, and
-AQE may still switch it at run time from measured sizes.
+Lookup sides derived from data (alias maps, group means, listen counts)
+have no static size bound, so they are joined without a hint: adaptive
+query execution measures the lookup side once its stage has run and turns
+the join into a broadcast join only when the measured size is below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the join
+stays a shuffle join.  An explicit broadcast is used only when the caller
+passes a proven row bound (``max_rows``) – e.g. a table it has counted.
 """
 
 from __future__ import annotations
@@ -15,15 +19,20 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the table is proven to have at most
-    ``max_rows`` rows (one bounded counting job on an aggregated table)."""
-    n = df.limit(max_rows + 1).count()
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       known_rows: int | None = None) -> DataFrame:
+    """Broadcast hint only behind a proven row bound.
+
+    With ``known_rows`` (a count the caller already has) no job runs;
+    otherwise one bounded counting job (``limit(max_rows + 1)``) checks it.
+    Above the bound the table is returned unhinted (shuffle join / AQE).
+    """
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
 def lookup_with_default(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], value: str,
-                        default: Column | None, out: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                        default: Column | None, out: str, max_broadcast_rows: int | None = None,
                         keep: Column | None = None) -> DataFrame:
     """``map.getOrElse(key, default)`` as a left join.
 
@@ -33,7 +42,9 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, on: str | Sequence[str
     looked-up value or ``default``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    side = broadcast_if_small(lookup.select(*keys, F.col(value).alias("_lk")), max_broadcast_rows)
+    side = lookup.select(*keys, F.col(value).alias("_lk"))
+    if max_broadcast_rows is not None:
+        side = broadcast_if_small(side, max_broadcast_rows)
     joined = df.join(side, keys, "left")
     fill = F.col("_lk") if default is None else F.coalesce(F.col("_lk"), default)
     new = fill if keep is None else F.when(keep, F.col(out)).otherwise(fill)
@@ -45,7 +56,6 @@ def resolve_alias(df: DataFrame, alias: DataFrame, col: str = "item",
                   bad: str = "bad_id", good: str = "good_id") -> DataFrame:
     """Canonical id or the id itself (J02): ``alias.getOrElse(id, id)``."""
     side = alias.select(F.col(bad).alias(col), F.col(good).alias("_good"))
-    side = broadcast_if_small(side)
     joined = df.join(side, col, "left")
     return joined.select(*[F.coalesce("_good", col).alias(col) if c == col else F.col(c) for c in df.columns])
 

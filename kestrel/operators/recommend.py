@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.evaluate import mean_user_auc, user_auc
-from kestrel.operators.joins import broadcast_if_small
 from kestrel.operators.ranking import top_k_per_key
 from kestrel.operators.sampling import k_folds, negative_samples
 from kestrel.session import checkpoint_dir
@@ -58,8 +57,7 @@ def als_scorer(model: ALSModel) -> Scorer:
 
 def popularity_scores(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """Popularity baseline (M14): total training rating of the item, else 0.0."""
-    listens = train.groupBy("item").agg(F.sum("rating").alias("_total"))
-    listens = broadcast_if_small(listens)
+    listens = train.groupBy("item").agg(F.sum("rating").alias("_total"))  # AQE broadcasts it when small
     return pairs.join(listens, "item", "left").select(
         "user", "item", F.coalesce(F.col("_total"), F.lit(0.0)).alias("score"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.hashing import hash_bucket, hash_fraction
-from kestrel.operators.ranking import dense_index, keyed_prefix_sums
+from kestrel.operators.ranking import blocked_prefix_sums, dense_index
 from kestrel.session import cut_lineage
 
 
@@ -54,12 +54,16 @@ def _draw_rows(active: DataFrame, chunk: int) -> DataFrame:
 
     Ranges are first cut into chunks of at most ``chunk`` draws and the
     chunks are spread over the cluster, so no single row or task expands a
-    hot user's whole range.
+    hot user's whole range.  The chunk table is small in bytes but expands
+    many times over, so it is spread over a fixed number of partitions (the
+    session's shuffle partitions) instead of letting AQE coalesce it by
+    its pre-expansion size.
     """
     n_chunks = F.ceil((F.col("_end") - F.col("_start")) / F.lit(chunk)).cast("int")
     chunks = active.select("*", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_c")) \
         .where(n_chunks > 0)
-    chunks = chunks.repartition("user", "_c")
+    parts = int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(parts, "user", "_c")
     lo = F.col("_start") + F.col("_c") * F.lit(chunk) + 1
     hi = F.least(F.col("_end"), F.col("_start") + (F.col("_c") + 1) * F.lit(chunk))
     return chunks.select("*", F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint"))).alias("draw")) \
@@ -89,19 +93,21 @@ def negative_samples(positives: DataFrame, items: DataFrame, seed: int,
     n_items = items.count()
     if n_items == 0:
         return spark.createDataFrame([], "user int, item int, draw bigint")
-    indexed = dense_index(items.select("item"), "item", "idx")
+    indexed = dense_index(items.select("item"), "item", "idx", n_rows=n_items)
     # the indexed item list has exactly n_items rows: broadcast only under the bound
     indexed = F.broadcast(indexed) if n_items <= 5_000_000 else indexed
 
-    state = cut_lineage(pos.groupBy("user").agg(F.count(F.lit(1)).alias("_p"))
-                        .select("user", "_p", F.lit(0).cast("bigint").alias("_done"),
-                                F.lit(0).cast("bigint").alias("_got")))
+    state = (pos.groupBy("user").agg(F.count(F.lit(1)).alias("_p"))
+             .select("user", "_p", F.lit(0).cast("bigint").alias("_done"),
+                     F.lit(0).cast("bigint").alias("_got")))
     accepted_parts: list[DataFrame] = []
     factor = first_batch_factor
+    rounds = 0
     while True:
         active = state.where((F.col("_got") < F.col("_p")) & (F.col("_done") < F.lit(n_items)))
-        if active.isEmpty():
+        if rounds > 0 and active.isEmpty():
             break
+        rounds += 1
         batch = (F.col("_p") - F.col("_got")) * F.lit(factor) + F.lit(20)
         active = active.select("user", "_p", "_got", F.col("_done").alias("_start"),
                                F.least(F.lit(n_items), F.col("_done") + batch.cast("bigint")).alias("_end"))
@@ -109,16 +115,17 @@ def negative_samples(positives: DataFrame, items: DataFrame, seed: int,
         draws = draws.withColumn("idx", hash_bucket(n_items, F.col("user"), F.col("draw"), seed))
         cand = draws.join(indexed, "idx").drop("idx")
         cand = cand.join(pos, ["user", "item"], "left_anti").withColumn("_one", F.lit(1))
-        ranked = keyed_prefix_sums(cand, "user", "draw", ["_one"])
+        ranked = blocked_prefix_sums(cand, "user", "draw", ["_one"], block=chunk)
         accepted = cut_lineage(ranked.where(F.col("_got") + F.col("_one_before") < F.col("_p"))
                                .select("user", "item", "draw"))
         accepted_parts.append(accepted)
         got = accepted.groupBy("user").agg(F.count(F.lit(1)).alias("_new"))
-        state = cut_lineage(
-            state.join(active.select("user", "_end"), "user", "left").join(got, "user", "left")
-            .select("user", "_p",
-                    F.coalesce("_end", "_done").alias("_done"),
-                    (F.col("_got") + F.coalesce("_new", F.lit(0))).alias("_got")))
+        state = (state.join(active.select("user", "_end"), "user", "left").join(got, "user", "left")
+                 .select("user", "_p",
+                         F.coalesce("_end", "_done").alias("_done"),
+                         (F.col("_got") + F.coalesce("_new", F.lit(0))).alias("_got")))
+        if rounds % 4 == 0:
+            state = cut_lineage(state)
         factor *= 2
     out = accepted_parts[0]
     for part in accepted_parts[1:]:

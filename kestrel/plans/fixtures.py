@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.session import scratch_path
 from kestrel.sources.tables import load
 
 BOOKINGS = """
@@ -107,10 +108,29 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build one derived view as a Spark DataFrame."""
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, materialize: bool = True) -> DataFrame:
+    """Build one derived view as a Spark DataFrame.
+
+    The raw-text views stand in for text files, so by default each is
+    written once per application as a multi-file table in the shared
+    checkpoint folder and read back like a file source; parsers then scan
+    it in parallel and their filters run on stored lines instead of being
+    pushed into the generating expressions.
+    """
     text, tables = VIEWS[name]
-    return spark.sql(text, **{t: load(spark, sf_dir, t) for t in tables})
+    df = spark.sql(text, **{t: load(spark, sf_dir, t) for t in tables})
+    if not materialize:
+        return df
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _WRITTEN.get(key)
+    if path is None:
+        path = scratch_path(spark, f"fixture-{name}")
+        df.write.mode("overwrite").parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(path)
 
 
 def view_sql(name: str) -> str:

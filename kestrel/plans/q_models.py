@@ -84,8 +84,8 @@ def q_score_messages(spark, sf):
 # ------------------------------------------------------------------ recommender
 
 
-def _als(spark, sf, **kw):
-    train, held = rating_split(spark, sf)
+def _als(spark, sf, ratings=None, **kw):
+    train, held = rating_split(spark, sf, ratings)
     return rec.fit_als(train, **kw), train, held
 
 
@@ -97,9 +97,9 @@ def q_als_pairs(spark, sf):
 
 @query("als_auc", None, "M09 E03 X04")
 def q_als_auc(spark, sf):
-    model, _, held = _als(spark, sf)
-    items = D.ratings(spark, sf).select("item").distinct()
-    return rec.evaluate_auc(held, items, rec.als_scorer(model), seed=7)
+    ratings = D.ratings(spark, sf)
+    model, _, held = _als(spark, sf, ratings)
+    return rec.evaluate_auc(held, ratings.select("item").distinct(), rec.als_scorer(model), seed=7)
 
 
 def _first_users(spark, sf, n=100):
@@ -139,6 +139,7 @@ GRID_RANKS, GRID_LAMBDAS, GRID_ALPHAS = (10, 50), (1.0, 100.0), (40.0,)
 
 @query("grid_auc", None, "M16 L05")
 def q_grid_auc(spark, sf):
-    train, held = rating_split(spark, sf)
-    items = D.ratings(spark, sf).select("item").distinct()
+    ratings = D.ratings(spark, sf)
+    train, held = rating_split(spark, sf, ratings)
+    items = ratings.select("item").distinct()
     return rec.grid_search(train, held, items, GRID_RANKS, GRID_LAMBDAS, GRID_ALPHAS, max_iter=10)

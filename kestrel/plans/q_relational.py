@@ -35,9 +35,10 @@ def rating_split_sql(alias: str = "ratings") -> str:
             "then 0 else 1 end")
 
 
-def rating_split(spark, sf):
+def rating_split(spark, sf, ratings=None):
     """Ratings split 90/10 by a hash of the rating line."""
-    return hash_split(D.ratings(spark, sf), RATING_SPLIT, RATING_SEED, ["user", "item", "cnt"])
+    r = ratings if ratings is not None else D.ratings(spark, sf)
+    return hash_split(r, RATING_SPLIT, RATING_SEED, ["user", "item", "cnt"])
 
 
 # ------------------------------------------------------------------ projections

@@ -65,9 +65,9 @@ negs as (select "user", item, draw from
 
 
 def _held_and_items(spark, sf):
-    train, held = rating_split(spark, sf)
-    items = D.ratings(spark, sf).select("item").distinct()
-    return train, held, items
+    ratings = D.ratings(spark, sf)
+    train, held = rating_split(spark, sf, ratings)
+    return train, held, ratings.select("item").distinct()
 
 
 @query("negative_samples", oracle('select "user", item, draw from negs', "ratings", ctes=_SQL_NEG), "X04 J06 C13")

@@ -7,12 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# session setting: minimum partitions a scan should feed into the plan
+MIN_PARTITIONS_CONF = "kestrel.scan.minPartitions"
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table; Catalyst prunes columns and pushes filters to the scan."""
+    """Read one table; Catalyst prunes columns and pushes filters to the scan.
+
+    A file written as a single row group is read by a single task, which
+    would serialise all the per-row work fused into the scan stage.  When
+    the scan yields fewer partitions than the cluster can run at once, the
+    rows are rebalanced (round-robin) over that many partitions.  On large
+    inputs the scan already has thousands of splits and this is a no-op.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = int(spark.conf.get(MIN_PARTITIONS_CONF, str(spark.sparkContext.defaultParallelism)))
+    if want > 1 and df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def load_many(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
