@@ -203,3 +203,15 @@ def q_default_lookup(spark, sf):
     out = lookup_with_default(p.select("Id", "Class", "Price"), means, "Class", "mean_price", F.lit(0.0),
                               "Price", keep=F.col("Price").isNotNull())
     return out.select("Id", "Price")
+
+
+@query("user_baskets", oracle("""
+select "user", count(distinct item) as n_items, count(*) as n_plays, sum(rating) as total
+from ratings group by "user\"""", "ratings"), "A10")
+def q_user_baskets(spark, sf):
+    """Per-user gathering (``groupByKey``) re-aimed as aggregates: the basket
+    is summarised, never collected into one row, so a hot user stays a
+    partially aggregated group."""
+    r = D.ratings(spark, sf)
+    return r.groupBy("user").agg(F.countDistinct("item").alias("n_items"), F.count(F.lit(1)).alias("n_plays"),
+                                 F.sum("rating").alias("total"))
