@@ -133,8 +133,11 @@ def q_cv_auc(spark, sf):
     return folds.agg(F.avg("mean_auc").alias("cv_mean_auc"), F.count(F.lit(1)).alias("folds"))
 
 
-# fixed values: a corner of the original rank x lambda x alpha grid (alpha 40, 10 iterations)
-GRID_RANKS, GRID_LAMBDAS, GRID_ALPHAS = (10, 50), (1.0, 100.0), (40.0,)
+# fixed values: the grid the original evaluation runs (rank, lambda, alpha; 10 iterations)
+GRID_RANKS, GRID_LAMBDAS, GRID_ALPHAS = (300,), (1000.0,), (40.0,)
+# fixed values: the wider grid whose results the original records in comments
+RECORDED_GRID_RANKS = (5, 7, 10, 50, 100, 200, 300)
+RECORDED_GRID_LAMBDAS = (0.01, 1.0, 10.0, 100.0, 1000.0)
 
 
 @query("grid_auc", None, "M16 L05")
