@@ -89,7 +89,8 @@ def negative_samples(positives: DataFrame, items: DataFrame, seed: int,
     Returns (user, item, draw).
     """
     spark = positives.sparkSession
-    pos = positives.select("user", "item").distinct()
+    # read by the per-user targets, the anti-join and every round: written once
+    pos = cut_lineage(positives.select("user", "item").distinct())
     n_items = items.count()
     if n_items == 0:
         return spark.createDataFrame([], "user int, item int, draw bigint")

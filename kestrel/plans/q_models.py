@@ -15,7 +15,7 @@ from kestrel.plans import derived as D
 from kestrel.plans.fixtures import view
 from kestrel.plans.q_relational import heaviest_user, rating_split
 from kestrel.plans.registry import query
-from kestrel.session import scratch_path
+from kestrel.session import cut_lineage, scratch_path
 
 LR_RECIPES = ("class_gender", "class_gender_sibsp", "class_gender_sibsp_parch_fare", "class_gender_fare",
               "class_gender_sibsp_fare", "class_gender_family", "class_gender_age")
@@ -97,7 +97,7 @@ def q_als_pairs(spark, sf):
 
 @query("als_auc", None, "M09 E03 X04")
 def q_als_auc(spark, sf):
-    ratings = D.ratings(spark, sf)
+    ratings = cut_lineage(D.ratings(spark, sf))
     model, _, held = _als(spark, sf, ratings)
     return rec.evaluate_auc(held, ratings.select("item").distinct(), rec.als_scorer(model), seed=7)
 
@@ -128,7 +128,7 @@ def q_spot_check(spark, sf):
 
 @query("cv_auc", None, "M15 X03 A17")
 def q_cv_auc(spark, sf):
-    ratings = D.ratings(spark, sf)
+    ratings = cut_lineage(D.ratings(spark, sf))
     folds = rec.cross_validated_auc(ratings, ratings.select("item").distinct(), k=10, seed=500)
     return folds.agg(F.avg("mean_auc").alias("cv_mean_auc"), F.count(F.lit(1)).alias("folds"))
 
@@ -142,7 +142,7 @@ RECORDED_GRID_LAMBDAS = (0.01, 1.0, 10.0, 100.0, 1000.0)
 
 @query("grid_auc", None, "M16 L05")
 def q_grid_auc(spark, sf):
-    ratings = D.ratings(spark, sf)
+    ratings = cut_lineage(D.ratings(spark, sf))
     train, held = rating_split(spark, sf, ratings)
     items = ratings.select("item").distinct()
     return rec.grid_search(train, held, items, GRID_RANKS, GRID_LAMBDAS, GRID_ALPHAS, max_iter=10)

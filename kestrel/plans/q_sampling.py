@@ -12,6 +12,7 @@ from kestrel.plans.derived import oracle
 from kestrel.plans.fixtures import view
 from kestrel.plans.q_relational import RATING_SEED, RATING_SPLIT, rating_split, rating_split_sql
 from kestrel.plans.registry import query
+from kestrel.session import cut_lineage
 
 NEG_SEED = 7  # seed of the negative draws
 FOLDS, FOLD_SEED = 10, 500  # fixed values: 10-fold cross-validation with seed 500
@@ -65,7 +66,8 @@ negs as (select "user", item, draw from
 
 
 def _held_and_items(spark, sf):
-    ratings = D.ratings(spark, sf)
+    # split, item list and scoring all read the ratings: parse them once
+    ratings = cut_lineage(D.ratings(spark, sf))
     train, held = rating_split(spark, sf, ratings)
     return train, held, ratings.select("item").distinct()
 
