@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalars import jvm_split_space
 from kestrel.operators.evaluate import micro_metrics
 from kestrel.operators.features import Recipe
+from kestrel.session import cut_lineage
 from kestrel.sources.csv import write_csv
 
 # fixed values: category counts of the categorical features (categoricalFeaturesInfo)
@@ -48,8 +49,8 @@ def assemble(df: DataFrame, features: tuple[str, ...], label: str | None = "Surv
 
 def estimator(kind: str, seed: int = 42):
     """The model settings of the original jobs."""
-    if kind == "lr":  # L-BFGS, two classes, intercept, no regularisation (M04)
-        return LogisticRegression(family="binomial", fitIntercept=True, regParam=0.0, maxIter=100, tol=1e-6)
+    if kind == "lr":  # L-BFGS, two classes, intercept, no regularisation, tolerance 1e-4 (M04)
+        return LogisticRegression(family="binomial", fitIntercept=True, regParam=0.0, maxIter=100, tol=1e-4)
     if kind == "lr_sgd":  # SGD defaults: 100 iterations, L2 0.01, no intercept (M05)
         return LogisticRegression(family="binomial", fitIntercept=False, regParam=0.01, elasticNetParam=0.0,
                                   standardization=False, maxIter=100)
@@ -129,19 +130,34 @@ class RunResult:
 
 def run_classifier(prepared: DataFrame, recipe: Recipe, kind: str, out_path: str | None = None,
                    segment: str | None = None, seed: int = 42) -> RunResult:
-    """The train / validate / refit / score / persist pipeline."""
-    data = assemble(prepared, recipe.features)
-    validation = None
-    if recipe.split:
-        fit70 = fit_model(kind, data.where(F.col("split") == "train70"), segment, seed)
-        validation = validate(fit70, data.where(F.col("split") == "valid30"))
-    full = fit_model(kind, data.where(F.col("split") != "test"), segment, seed)
-    predictions = score(full, data.where(F.col("split") == "test"))
-    if out_path:
-        write_csv(predictions, out_path)
+    """The train / validate / refit / score / persist pipeline.
+
+    The assembled rows feed up to two fits, a validation and the scoring,
+    so they are cached for the duration of the run.  With ``out_path`` the
+    predictions are written as CSV (S11) and the returned table is that
+    written result.
+    """
+    data = assemble(prepared, recipe.features).persist()
+    try:
+        validation = None
+        if recipe.split:
+            fit70 = fit_model(kind, data.where(F.col("split") == "train70"), segment, seed)
+            validation = cut_lineage(validate(fit70, data.where(F.col("split") == "valid30")))
+        full = fit_model(kind, data.where(F.col("split") != "test"), segment, seed)
+        predictions = score(full, data.where(F.col("split") == "test"))
+        if out_path:
+            write_csv(predictions, out_path)
+            predictions = read_csv_typed(data.sparkSession, out_path)
+    finally:
+        data.unpersist()
     return RunResult(predictions, validation, full)
 
 
+def read_csv_typed(spark: SparkSession, path: str) -> DataFrame:
+    """Read back a written prediction CSV with its declared schema."""
+    return spark.read.option("header", True).schema("PassengerId int, Survived int").csv(path)
+
+
 def text_classifier(messages: DataFrame, num_features: int = 10_000, text_col: str = "text"):
     """Spam-style text model (M01, M05): space tokens → hashed TF → logistic
     regression with the SGD defaults.  Returns (model, tf transformer)."""
