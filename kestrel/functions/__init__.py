@@ -5,6 +5,7 @@ from kestrel.functions.scalars import (  # noqa: F401
     category_offset,
     gender_code,
     jvm_split_space,
+    jvm_trim,
     nan_to_null,
     null_to_zero,
     parse_int_strict,

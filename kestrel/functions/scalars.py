@@ -76,6 +76,12 @@ def gender_code(x) -> Column:
     return F.when(_c(x) == "male", F.lit(1.0)).otherwise(F.lit(0.0))
 
 
+def jvm_trim(x) -> Column:
+    """``String.trim``: strips every leading / trailing character <= U+0020
+    (spaces, tabs, control characters), not only spaces."""
+    return F.regexp_replace(_c(x), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def strip_quotes(x) -> Column:
     """``replaceAll("\\"", "")``."""
     return F.regexp_replace(_c(x), '"', "")

@@ -72,7 +72,7 @@ plays as (
 SQL_ITEMS = """
 items as (
   select cast(substr(value, 1, strpos(value, chr(9)) - 1) as int) as item,
-         trim(substr(value, strpos(value, chr(9)) + 1)) as name
+         regexp_replace(substr(value, strpos(value, chr(9)) + 1), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') as name
   from items_raw
   where strpos(value, chr(9)) > 0
     and regexp_full_match(substr(value, 1, strpos(value, chr(9)) - 1), '[+-]?[0-9]+')

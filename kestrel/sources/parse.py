@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import (
     jvm_split_space,
+    jvm_trim,
     parse_int_strict,
     question_to_null,
     split_first_tab,
@@ -55,10 +56,10 @@ def parse_id_name(df: DataFrame) -> DataFrame:
     """``id<TAB>name`` → (item int, name string)  (S05).
 
     Split at the first tab; a line without a tab, or whose id is not a plain
-    integer, is dropped; the name is trimmed.
+    integer, is dropped; the name is trimmed like ``String.trim``.
     """
     before, after = split_first_tab(F.col("value"))
-    out = df.select(parse_int_strict(before).alias("item"), F.trim(after).alias("name"))
+    out = df.select(parse_int_strict(before).alias("item"), jvm_trim(after).alias("name"))
     return out.where(F.col("item").isNotNull() & F.col("name").isNotNull())
 
 

@@ -9,9 +9,10 @@ def lines(spark, values):
 
 
 def test_id_name_drop_rules(spark):
-    df = lines(spark, ["12\t  Foo Bar ", "no tab here", "x9\tBad id", " 7\tblank before id", "5\tA\tB", "-3\tneg"])
+    df = lines(spark, ["12\t  Foo Bar ", "no tab here", "x9\tBad id", " 7\tblank before id", "5\tA\tB",
+                       "-3\tneg", "8\t\tTabbed\t"])
     got = sorted(tuple(r) for r in parse.parse_id_name(df).collect())
-    assert got == [(-3, "neg"), (5, "A\tB"), (12, "Foo Bar")]
+    assert got == [(-3, "neg"), (5, "A\tB"), (8, "Tabbed"), (12, "Foo Bar")]
 
 
 def test_alias_rules(spark):
