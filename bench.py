@@ -51,6 +51,7 @@ def main():
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.driver.memory", "16g")
              .config("spark.local.dir", scratch)
              .getOrCreate())
