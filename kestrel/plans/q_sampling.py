@@ -54,11 +54,12 @@ held as (select distinct "user", item from split where part = 1),
 pc as (select "user", count(*) as p from held group by "user"),
 it as (select item, row_number() over (order by item) - 1 as idx from (select distinct item from ratings)),
 nitems as (select count(*) as n from it),
-draws as (select "user", p, unnest(generate_series(1, (select n from nitems))) as draw from pc),
-cand as (
-  select d."user", d.p, d.draw, it.item from draws d join it
-    on it.idx = {_md5_u32('cast(d."user" as varchar)', 'cast(d.draw as varchar)', f"'{NEG_SEED}'")}
-                % (select n from nitems)),
+draws as (
+  select "user", p, draw,
+         {_md5_u32('cast("user" as varchar)', 'cast(draw as varchar)', f"'{NEG_SEED}'")}
+           % (select n from nitems) as idx
+  from (select "user", p, unnest(generate_series(1, (select n from nitems))) as draw from pc)),
+cand as (select d."user", d.p, d.draw, it.item from draws d join it on it.idx = d.idx),
 nonpos as (select c.* from cand c where not exists
              (select 1 from held h where h."user" = c."user" and h.item = c.item)),
 negs as (select "user", item, draw from
