@@ -49,7 +49,14 @@ def main():
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     qs = all_queries()
-    spark = build_session()
+    if os.environ.get("ORACLE_CHECK_DEFAULT_SESSION"):
+        # like the driver: Spark defaults (200 shuffle partitions, no checkpoint folder)
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
@@ -91,6 +98,7 @@ def main():
             print("  only spark:", sorted(a - b)[:5])
             print("  only oracle:", sorted(b - a)[:5])
     print(json.dumps({k: v["status"] for k, v in results.items()}))
+    print("total spark sec", round(sum(v.get("sec", 0) for v in results.values()), 1))
 
 
 if __name__ == "__main__":
