@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from itertools import product
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -20,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.evaluate import mean_user_auc, user_auc
-from kestrel.operators.ranking import top_k_per_key
+from kestrel.operators.ranking import dense_index, top_k_per_key
 from kestrel.operators.sampling import k_folds, negative_samples
-from kestrel.session import checkpoint_dir
+from kestrel.session import checkpoint_dir, cut_lineage
 
 Scorer = Callable[[DataFrame], DataFrame]  # (user, item) pairs -> (user, item, score)
 
@@ -30,27 +31,62 @@ Scorer = Callable[[DataFrame], DataFrame]  # (user, item) pairs -> (user, item,
 DEFAULT_RANK, DEFAULT_ITER, DEFAULT_REG, DEFAULT_ALPHA = 10, 5, 0.01, 1.0
 
 
+INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
+
+
+@dataclass
+class RecModel:
+    """A fitted ALS model plus, when the ids did not fit in an int, the
+    id → dense int maps used for fitting (None otherwise)."""
+    model: ALSModel
+    users: DataFrame | None = None   # (user, _u int)
+    items: DataFrame | None = None   # (item, _i int)
+
+
+def _id_map(ids: DataFrame, col: str, out: str) -> DataFrame:
+    idx = dense_index(ids.select(col).distinct(), col, "_idx")
+    return cut_lineage(idx.select(col, F.col("_idx").cast("int").alias(out)))
+
+
 def fit_als(ratings: DataFrame, rank: int = DEFAULT_RANK, max_iter: int = DEFAULT_ITER,
-            reg: float = DEFAULT_REG, alpha: float = DEFAULT_ALPHA, seed: int = 42) -> ALSModel:
+            reg: float = DEFAULT_REG, alpha: float = DEFAULT_ALPHA, seed: int = 42) -> RecModel:
     """``ALS.trainImplicit(ratings, rank, iterations, lambda, alpha)``.
 
-    Ids must fit in an int (the ANSI cast fails loudly otherwise).
+    ALS needs int ids.  One aggregate checks the id ranges: ids that fit are
+    cast; otherwise users and items are mapped to dense ints with the
+    distributed ``dense_index`` (no single-task numbering) and mapped back
+    when scoring and recommending.
     """
     checkpoint_dir(ratings.sparkSession)  # ALS checkpoints its factor lineage there
-    data = ratings.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"),
-                          F.col("rating").cast("float").alias("rating"))
+    b = ratings.agg(F.min("user"), F.max("user"), F.min("item"), F.max("item")).first()
+    fits = all(v is None or INT_MIN <= v <= INT_MAX for v in b)
+    users = items = None
+    if fits:
+        data = ratings.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"),
+                              F.col("rating").cast("float").alias("rating"))
+    else:
+        users, items = _id_map(ratings, "user", "_u"), _id_map(ratings, "item", "_i")
+        data = (ratings.join(users, "user").join(items, "item")
+                .select(F.col("_u").alias("user"), F.col("_i").alias("item"), F.col("rating").cast("float")))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True,
               userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop",
               seed=seed, checkpointInterval=10)
-    return als.fit(data)
+    return RecModel(als.fit(data), users, items)
 
 
-def als_scorer(model: ALSModel) -> Scorer:
+def als_scorer(rm: RecModel) -> Scorer:
     """Pair scoring with a fitted model (M11, J07): unknown ids disappear."""
 
     def score(pairs: DataFrame) -> DataFrame:
-        p = pairs.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"))
-        return model.transform(p).select("user", "item", F.col("prediction").cast("double").alias("score"))
+        if rm.users is None:
+            p = pairs.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"))
+            return rm.model.transform(p).select("user", "item", F.col("prediction").cast("double").alias("score"))
+        p = pairs.select("user", "item").join(rm.users, "user").join(rm.items, "item")
+        scored = rm.model.transform(p.select("user", "item", F.col("_u"), F.col("_i"))
+                                    .withColumnRenamed("user", "_user").withColumnRenamed("item", "_item")
+                                    .withColumnRenamed("_u", "user").withColumnRenamed("_i", "item"))
+        return scored.select(F.col("_user").alias("user"), F.col("_item").alias("item"),
+                             F.col("prediction").cast("double").alias("score"))
 
     return score
 
@@ -112,13 +148,23 @@ def grid_search(train: DataFrame, held_out: DataFrame, all_items: DataFrame,
     return out.orderBy(F.desc("mean_auc"), "rank", "lambda", "alpha")
 
 
-def recommend(model: ALSModel, users: DataFrame, k: int = 5) -> DataFrame:
+def recommend(rm: RecModel, users: DataFrame, k: int = 5) -> DataFrame:
     """Top-k items for each requested user, one distributed job (L03, M13):
     (user, rank, item, score).  Users unknown to the model yield no rows."""
-    recs = model.recommendForUserSubset(users.select(F.col("user").cast("int").alias("user")), k)
+    if rm.users is None:
+        req = users.select(F.col("user").cast("int").alias("user"))
+    else:
+        req = users.select("user").join(rm.users, "user").select(F.col("_u").alias("user"))
+    recs = rm.model.recommendForUserSubset(req, k)
     out = recs.select("user", F.posexplode("recommendations").alias("pos", "r"))
-    return out.select("user", (F.col("pos") + 1).alias("rank"), F.col("r.item").alias("item"),
-                      F.col("r.rating").cast("double").alias("score"))
+    out = out.select("user", (F.col("pos") + 1).alias("rank"), F.col("r.item").alias("item"),
+                     F.col("r.rating").cast("double").alias("score"))
+    if rm.users is None:
+        return out
+    back_u = rm.users.select(F.col("_u").alias("user"), F.col("user").alias("_orig_user"))
+    back_i = rm.items.select(F.col("_i").alias("item"), F.col("item").alias("_orig_item"))
+    out = out.join(back_u, "user").join(back_i, "item")
+    return out.select(F.col("_orig_user").alias("user"), "rank", F.col("_orig_item").alias("item"), "score")
 
 
 def format_recommendations(recs: DataFrame) -> DataFrame:
@@ -134,7 +180,7 @@ def top_k_items(scored: DataFrame, k: int = 5) -> DataFrame:
     return top_k_per_key(scored, "user", k, [F.desc("score"), F.asc("item")], ["item"])
 
 
-def spot_check(spark: SparkSession, model: ALSModel, ratings: DataFrame, items: DataFrame,
+def spot_check(spark: SparkSession, model: RecModel, ratings: DataFrame, items: DataFrame,
                user: DataFrame, k: int = 5) -> DataFrame:
     """Items a user touched and the k recommended ones, with names (M12):
     (kind, item, name) where kind is 'played' or 'recommended'."""

@@ -82,3 +82,20 @@ def test_numeric_model_golden(spark):
     # listed in the README; the other recorded value must hold.
     assert got[2] == 1.0
     assert got[1] in (0.0, 1.0)
+
+
+def test_als_large_ids_are_reindexed(spark):
+    from kestrel.operators import recommend as rec
+    big = 2 ** 33
+    rows = [(big + u, big * 3 + i, float(1 + (u * i) % 5)) for u in range(30) for i in range(20) if (u + i) % 3]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    rm = rec.fit_als(ratings, rank=3, max_iter=3)
+    assert rm.users is not None and rm.users.count() == 30
+    pairs = ratings.select("user", "item").limit(50)
+    scored = rec.als_scorer(rm)(pairs).collect()
+    assert len(scored) == 50 and all(r.user >= big and r.item >= 3 * big for r in scored)
+    recs = rec.recommend(rm, ratings.select("user").distinct().orderBy("user").limit(4), 2).collect()
+    assert len(recs) == 8 and all(r.item >= 3 * big for r in recs)
+    small = rec.fit_als(ratings.select((F.col("user") - big).alias("user"), (F.col("item") - 3 * big).alias("item"),
+                                       "rating"), rank=3, max_iter=3)
+    assert small.users is None
