@@ -123,19 +123,20 @@ def weights(spark: SparkSession, model, features: tuple[str, ...], name: str) ->
 
 @dataclass
 class RunResult:
-    predictions: DataFrame
+    predictions: DataFrame | None
     validation: DataFrame | None
     model: object
 
 
 def run_classifier(prepared: DataFrame, recipe: Recipe, kind: str, out_path: str | None = None,
-                   segment: str | None = None, seed: int = 42) -> RunResult:
+                   segment: str | None = None, seed: int = 42, refit: bool = True) -> RunResult:
     """The train / validate / refit / score / persist pipeline.
 
     The assembled rows feed up to two fits, a validation and the scoring,
     so they are cached for the duration of the run.  With ``out_path`` the
     predictions are written as CSV (S11) and the returned table is that
-    written result.
+    written result.  ``refit=False`` stops after the validation (no full
+    fit, no scoring).
     """
     data = assemble(prepared, recipe.features).persist()
     try:
@@ -143,6 +144,8 @@ def run_classifier(prepared: DataFrame, recipe: Recipe, kind: str, out_path: str
         if recipe.split:
             fit70 = fit_model(kind, data.where(F.col("split") == "train70"), segment, seed)
             validation = cut_lineage(validate(fit70, data.where(F.col("split") == "valid30")))
+        if not refit:
+            return RunResult(None, validation, fit70 if recipe.split else None)
         full = fit_model(kind, data.where(F.col("split") != "test"), segment, seed)
         predictions = score(full, data.where(F.col("split") == "test"))
         if out_path:

@@ -28,11 +28,12 @@ RUNS = {  # name -> (recipe, estimator kind, segment column)
 }
 
 
-def _run(spark, sf, name):
+def _run(spark, sf, name, write: bool = True, refit: bool = True):
     recipe_name, kind, segment = RUNS[name]
     recipe = RECIPES[recipe_name]
     prepared = prepare(D.passengers(spark, sf), recipe)
-    return classify.run_classifier(prepared, recipe, kind, scratch_path(spark, f"pred-{name}"), segment)
+    out = scratch_path(spark, f"pred-{name}") if write else None
+    return classify.run_classifier(prepared, recipe, kind, out, segment, refit=refit)
 
 
 def _prediction_query(name):
@@ -53,7 +54,7 @@ def q_classifier_validation(spark, sf):
     """Validation metrics of every model run that has a validation split."""
     parts = []
     for name in RUNS:
-        res = _run(spark, sf, name)
+        res = _run(spark, sf, name, write=False, refit=False)
         if res.validation is not None:
             parts.append(res.validation.select(F.lit(name).alias("run"), "*"))
     out = parts[0]
@@ -67,7 +68,7 @@ def q_model_weights(spark, sf):
     parts = []
     for name in ("lr_class_gender_sibsp_parch_fare", "lr_segmented_family", "rf_class_gender_fare"):
         recipe = RECIPES[RUNS[name][0]]
-        parts.append(classify.weights(spark, _run(spark, sf, name).model, recipe.features, name))
+        parts.append(classify.weights(spark, _run(spark, sf, name, write=False).model, recipe.features, name))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
