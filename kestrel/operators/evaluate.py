@@ -47,7 +47,7 @@ def per_class_metrics(pred: DataFrame, label: str = "label", prediction: str = "
 
 
 def user_auc(pos_scored: DataFrame, neg_scored: DataFrame, user: str = "user",
-             score: str = "score") -> DataFrame:
+             score: str = "score", hot_rows: int = 1_000_000) -> DataFrame:
     """Per-user AUC (E03) from scored positive rows and scored negative rows.
 
     Every positive row is compared with every negative row of its user
@@ -62,7 +62,7 @@ def user_auc(pos_scored: DataFrame, neg_scored: DataFrame, user: str = "user",
     # one row per (user, score level), written once: the hot-key check and the
     # ranking both read it instead of re-running the scoring upstream
     levels = cut_lineage(rows.groupBy("user", "score").agg(F.sum("np").alias("np"), F.sum("nn").alias("nn")))
-    below = keyed_prefix_sums(levels, "user", "score", ["nn"])
+    below = keyed_prefix_sums(levels, "user", "score", ["nn"], hot_rows=hot_rows)
     per_user = below.groupBy("user").agg(
         F.sum("np").alias("n_pos"), F.sum("nn").alias("n_neg"),
         F.sum(F.col("np") * F.col("nn_before")).alias("correct"))

@@ -24,10 +24,11 @@ def test_user_auc_equals_pair_loop(spark):
     pos += [(0, 3.0)] * 500  # a hot user
     P = spark.createDataFrame(pos, "user int, score double")
     N = spark.createDataFrame(neg, "user int, score double")
-    got = {r.user: r.auc for r in user_auc(P, N).collect()}
     want = brute_auc(pos, neg)
-    assert got.keys() == want.keys()
-    assert all(abs(got[u] - want[u]) < 1e-12 for u in want)
+    for hot_rows in (1_000_000, 5):   # window path / hot users through range partitions
+        got = {r.user: r.auc for r in user_auc(P, N, hot_rows=hot_rows).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[u] - want[u]) < 1e-12 for u in want)
     mean = mean_user_auc(P, N).collect()[0]
     assert abs(mean.mean_auc - sum(want.values()) / len(want)) < 1e-12 and mean.users == len(want)
 
