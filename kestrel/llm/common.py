@@ -37,18 +37,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def written_bytes(df: DataFrame) -> int:
     """Size of the files behind a frame read from files (Catalyst's statistics)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def bounded(df: DataFrame, name: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def bounded(df: DataFrame, name: str, max_bytes: int = BROADCAST_BYTES, factor: int = 6) -> DataFrame:
     """``df`` written and, if its measured size allows, hinted for broadcast.
 
-    Beyond the bound the frame carries no hint and joins by a shuffle whose
-    skewed partitions adaptive execution splits.
+    ``factor`` is the size of its rows in memory for a byte of the files, which are
+    compressed columns.  Beyond the bound the frame carries no hint and joins by a
+    shuffle whose skewed partitions adaptive execution splits.
     """
     out = materialise(df, name)
-    # files are compressed columns: a factor for their size as rows in memory
-    return F.broadcast(out) if 6 * written_bytes(out) <= max_bytes else out
+    return F.broadcast(out) if factor * written_bytes(out) <= max_bytes else out
 
 
 def batches(source: Iterable[pa.RecordBatch], rows: int = 2000, column: int = 1,
