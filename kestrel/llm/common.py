@@ -47,8 +47,12 @@ def bounded(df: DataFrame, name: str, max_bytes: int = BROADCAST_BYTES, factor:
     compressed columns.  Beyond the bound the frame carries no hint and joins by a
     shuffle whose skewed partitions adaptive execution splits.
     """
-    out = materialise(df, name)
-    return F.broadcast(out) if factor * written_bytes(out) <= max_bytes else out
+    return hinted(materialise(df, name), max_bytes=max_bytes, factor=factor)
+
+
+def hinted(df: DataFrame, written: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES, factor: int = 6) -> DataFrame:
+    """``df`` with a broadcast hint if the written frame it is a part of (itself by default) is within the bound."""
+    return F.broadcast(df) if factor * written_bytes(df if written is None else written) <= max_bytes else df
 
 
 def batches(source: Iterable[pa.RecordBatch], rows: int = 2000, column: int = 1,

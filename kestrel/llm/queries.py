@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import sharding, wavelet
+from kestrel.llm import mixing, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_shards": wavelet.op1_wavelet_shards,
+    "op4_entropy_mix": mixing.op4_entropy_mix,
     "op9_minimax_shards": sharding.op9_minimax_shards,
 }
 
