@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import mixing, sharding, wavelet
+from kestrel.llm import mixing, secrets, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_shards": wavelet.op1_wavelet_shards,
     "op4_entropy_mix": mixing.op4_entropy_mix,
+    "op6_window_entropy": secrets.op6_window_entropy,
     "op9_minimax_shards": sharding.op9_minimax_shards,
 }
 
