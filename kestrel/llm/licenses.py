@@ -4,7 +4,7 @@ Texts and templates are normalised to words; a text's passage resembles a templa
 the Dice coefficient of their distinct word bigrams is at least ``THRESHOLD``.  That bounds
 sizes: a passage of n bigrams can only reach templates with n * T / (2 - T) to n * (2 - T) / T
 bigrams, so a text too short for a template never meets it, and a passage is as long as the
-template it is compared to.  A passage can only begin at a bigram of the template, and
+template it is compared to.  A passage begins at a bigram of the template and
 needs enough of them; where that holds the coefficient is computed exactly.  The whole
 text is compared too, under the same bounds.  Of passages that overlap the best stays.
 

@@ -16,11 +16,11 @@ def bigrams(words):
 
 
 def brute(text):
-    """Best coefficient per template over every passage of its length, and over the whole text."""
+    """Best coefficient per template over every passage of its length that begins in the template, and over the whole text."""
     words, out = words_of(text or ""), {}
     for t, (_, template) in enumerate(TEMPLATES):
         want = words_of(template)
-        passages = [words[i:i + len(want)] for i in range(max(1, len(words) - 1))] + [words]
+        passages = [words[i:i + len(want)] for i in range(len(words) - 1) if tuple(words[i:i + 2]) in bigrams(want)] + [words]
         best = max((2 * len(bigrams(p) & bigrams(want)) / (len(bigrams(p)) + len(bigrams(want))) for p in passages if len(p) > 1), default=0)
         if best >= 0.8:
             out[t] = best
