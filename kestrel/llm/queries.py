@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import licenses, mixing, secrets, sharding, wavelet
+from kestrel.llm import decontam, licenses, mixing, secrets, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_shards": wavelet.op1_wavelet_shards,
+    "op3_block_max_wand": decontam.op3_block_max_wand,
     "op4_entropy_mix": mixing.op4_entropy_mix,
     "op6_window_entropy": secrets.op6_window_entropy,
     "op8_dice_licenses": licenses.op8_dice_licenses,
