@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontam, licenses, mixing, secrets, sharding, wavelet
+from kestrel.llm import decontam, licenses, minhash, mixing, secrets, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_shards": wavelet.op1_wavelet_shards,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_window_entropy": secrets.op6_window_entropy,
     "op8_dice_licenses": licenses.op8_dice_licenses,
     "op9_minimax_shards": sharding.op9_minimax_shards,
+    "op10_icws_near_duplicates": minhash.op10_icws_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
