@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontam, licenses, minhash, mixing, secrets, sharding, wavelet
+from kestrel.llm import decontam, licenses, minhash, mixing, quality, secrets, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_shards": wavelet.op1_wavelet_shards,
     "op3_block_max_wand": decontam.op3_block_max_wand,
     "op4_entropy_mix": mixing.op4_entropy_mix,
     "op6_window_entropy": secrets.op6_window_entropy,
+    "op7_robust_outliers": quality.op7_robust_outliers,
     "op8_dice_licenses": licenses.op8_dice_licenses,
     "op9_minimax_shards": sharding.op9_minimax_shards,
     "op10_icws_near_duplicates": minhash.op10_icws_near_duplicates,
