@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import decontam, licenses, lines, minhash, mixing, quality, secrets, sharding, wavelet
+from kestrel.llm import decontam, licenses, lines, minhash, mixing, pii, quality, secrets, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_shards": wavelet.op1_wavelet_shards,
+    "op2_contextual_pii": pii.op2_contextual_pii,
     "op3_block_max_wand": decontam.op3_block_max_wand,
     "op4_entropy_mix": mixing.op4_entropy_mix,
     "op5_fuzzy_lines": lines.op5_fuzzy_lines,
