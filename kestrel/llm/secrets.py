@@ -18,13 +18,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import doc_texts
-from kestrel.llm.spans import SPANS, add_matches, digest, joined, of_kind, overlaps
+from kestrel.llm.spans import SPANS, add_matches, digest, joined, of_kind
 
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)""")
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 #: Strings whose entropy is looked at: maximal runs of key characters.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+#: An assignment that reaches up to a candidate, looked for in so many characters before it.
+ASSIGNED, BEFORE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9+/_.=-]*$""", 200
 KINDS = ("assign", "access", "hex", "entropy")
 WIDTH = 20
 #: Character class of a window (first that fits) and the bits a character from which it is a secret.
@@ -78,12 +80,13 @@ def find_secrets(docs: DataFrame, allow=ALLOW) -> DataFrame:
     sign = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
     df = add_matches(doc_texts(docs), "assign", ASSIGN, group=1, where=sign)
     df = add_matches(df, "access", ACCESS, where=F.contains(text, F.lit("AKIA")))
-    df = add_matches(add_matches(df, "hex", HEX), "candidate", CANDIDATE).drop("text")
+    df = add_matches(add_matches(df, "hex", HEX), "candidate", CANDIDATE, left=BEFORE).drop("text")
     assign = F.filter("assign", lambda x: F.char_length(x["g"]) >= 6)
     df = df.withColumn("base", F.concat(of_kind(assign, 0, KINDS[0]), of_kind(F.col("access"), 1, KINDS[1]),
                                         of_kind(F.col("hex"), 2, KINDS[2])).cast(SPANS))
-    allowed = F.lit("|".join(f"(?:{p})" for p in allow))
-    open_ = F.filter("candidate", lambda x: ~overlaps(x, F.col("base")) & ~F.regexp(x["v"], allowed))
+    # a candidate holds whole hex strings and access keys; an assignment begins in it or ends in it
+    based = F.lit("|".join(f"(?:{p})" for p in (HEX, ACCESS, ASSIGN, *allow)))
+    open_ = F.filter("candidate", lambda x: ~F.regexp(x["v"], based) & ~F.regexp(x["left"], F.lit(ASSIGNED)))
     df = df.withColumn("open", open_)
     fresh = F.filter("open", lambda x: F.coalesce(window_entropy(x["v"]), F.lit(-1.0)) >= 0)
     return df.select("doc_id", "base", of_kind(fresh, 3, KINDS[3]).cast(SPANS).alias("added"))

@@ -20,14 +20,17 @@ def _total(a: Column) -> Column:
 
 
 def running_sums(lengths: Column) -> Column:
-    """Array of what comes before each element: chunk by chunk, not one quadratic pass."""
+    """Array of what comes before each element, chunk by chunk: not one quadratic pass."""
     n = F.size(lengths)
-    chunks = F.when(n > 0, F.transform(F.sequence(F.lit(0), ((n - 1) / CHUNK).cast("int")),
-                                       lambda c: F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK))))
-    sums = F.transform(chunks, _total)
-    return F.coalesce(F.flatten(F.transform(chunks, lambda chunk, c: F.transform(
-        chunk, lambda _, k: _total(F.slice(sums, F.lit(1), c)) + _total(F.slice(chunk, F.lit(1), k))))),
-        F.array().cast("array<int>"))
+    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), ((n - 1) / CHUNK).cast("int"))),
+                         lambda c: F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK)))
+    zero = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc: Column, chunk: Column) -> Column:
+        before = F.transform(chunk, lambda _, k: acc["total"] + _total(F.slice(chunk, F.lit(1), k)))
+        return F.struct((acc["total"] + _total(chunk)).alias("total"), F.concat(acc["out"], before).alias("out"))
+
+    return F.aggregate(chunks, zero, step, lambda acc: acc["out"])
 
 
 def add_matches(df: DataFrame, out: str, pattern: str, group: int | None = None, left: int = 0,
@@ -46,7 +49,9 @@ def add_matches(df: DataFrame, out: str, pattern: str, group: int | None = None,
     df = df.withColumn("_gap", F.when(some, F.split(text, pattern, -1)).otherwise(none))
     if group is not None:
         df = df.withColumn("_g", F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(none))
-    df = df.withColumn("_at", running_sums(F.transform("_v", lambda v, i: F.char_length(v) + F.char_length(F.get("_gap", i)))))
+    lengths = F.transform("_v", lambda v, i: F.char_length(v) + F.char_length(F.get("_gap", i)))
+    df = df.withColumn("_len", F.when(some, lengths).otherwise(F.array().cast("array<int>")))
+    df = df.withColumn("_at", F.when(some, running_sums(F.col("_len"))))
 
     def row(v, i):
         start = F.get("_at", i) + F.char_length(F.get("_gap", i))
@@ -57,7 +62,7 @@ def add_matches(df: DataFrame, out: str, pattern: str, group: int | None = None,
             cols.append(F.right(F.get("_gap", i), F.lit(left)).alias("left"))
         return F.struct(*cols)
 
-    return df.withColumn(out, F.transform("_v", row)).drop("_v", "_gap", "_g", "_at")
+    return df.withColumn(out, F.transform("_v", row)).drop("_v", "_gap", "_g", "_len", "_at")
 
 
 def of_kind(found: Column, number: int, kind: str) -> Column:
@@ -77,7 +82,3 @@ def joined(spans: Column) -> Column:
 
 def digest(spans: Column) -> Column:
     return F.sha2(joined(spans), 256)
-
-
-def overlaps(x: Column, spans: Column) -> Column:
-    return F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
