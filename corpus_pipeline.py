@@ -1,12 +1,80 @@
-"""A corpus pipeline of the training-data operators, stage by stage."""
+"""A corpus pipeline of the training-data operators, stage by stage.
+
+Every stage takes the documents its predecessor kept and returns documents, the
+last one their places in shards.  A decision is about a text of a ``doc_id``:
+rows that share both are decided alike (quality keeps them if one of them is kept, near
+duplicates keep one).  Null values, empty tables and other columns: as the operators say.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kestrel.llm.common import bounded, materialise
+from kestrel.llm.decontam import contaminated
+from kestrel.llm.minhash import near_duplicates
+from kestrel.llm.mixing import mix
+from kestrel.llm.quality import judge
+from kestrel.llm.sharding import minimax_shards
+
+
+def _raw() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def _keys(decisions: DataFrame, *more: str) -> DataFrame:
+    return decisions.select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"), *more)
+
+
+def _is_key() -> Column:
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_raw() == F.col("_raw"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose (doc_id, raw) is not in ``gone``: an anti join, against a broadcast if that is small."""
+    return docs.join(bounded(_keys(gone).distinct(), "gone"), _is_key(), "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    verdicts = judge(docs).groupBy("doc_id", "raw").agg(F.max("kept").alias("kept"))
+    return _without(docs, verdicts.where("not kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    found = materialise(near_duplicates(docs), "near")
+    rest = _without(docs, found.where("not keep"))
+    again = found.where("keep").groupBy("doc_id", "raw").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = materialise(_keys(again), "repeated")
+    if again.isEmpty():  # no row is given twice: the usual case costs no shuffle of texts
+        return rest
+    once = rest.join(again, _is_key(), "left_semi").groupBy("doc_id", _raw().alias("_raw")).agg(
+        F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return rest.join(again, _is_key(), "left_anti").unionByName(once)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold items of the benchmark go."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return _without(docs, contaminated(docs, items))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it."""
+    taken = mix(docs).groupBy("doc_id", "raw", "source").agg(F.max("copies").alias("copies"))
+    times = bounded(_keys(taken.where("copies > 0"), F.col("source").alias("_source"), F.col("copies").alias("_copies")), "copies")
+    joined = docs.join(times, _is_key() & F.col("source").eqNullSafe(F.col("_source")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, group_first, shard, slot of every document of the mix."""
+    return minimax_shards(docs, 24)
 
-from kestrel.llm.common import materialise
 
-STAGES = []
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix_sources), ("shards", shards)]
 
 #: Neither robust covariance estimates, sampling hashes nor Newton steps can be written in SQL.
 ORACLE_SQL = None

@@ -40,7 +40,7 @@ K1, B = 1.2, 0.75
 SCORE, QUESTION, ANSWER, NGRAM = 0.6, 0.7, 0.7, 3
 BLOCK = 16
 PART_POSTINGS = 1_000_000
-HITS = "doc_id long, item_id long, score double, question_share double, answer_share double"
+HITS = "doc_id long, raw binary, item_id long, score double, question_share double, answer_share double"
 
 
 def split_item(text: str) -> tuple[list[bytes], list[bytes]]:
@@ -181,11 +181,12 @@ def _search_texts(shared, score: float, question: float, answer: float):
                     if q >= question and a >= answer:
                         best[doc, item] = max(best.get((doc, item), (0.0,)), (s, q, a))
             ids = batch.column(0).to_pylist()
-            rows = [(ids[d], part.item_ids[i], *v) for (d, i), v in best.items()]
+            raw = batch.column(2).to_pylist()
+            rows = [(ids[d], raw[d], part.item_ids[i], *v) for (d, i), v in best.items()]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.float64()] * 3)],
-                    ["doc_id", "item_id", "score", "question_share", "answer_share"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.binary(), pa.int64()] + [pa.float64()] * 3)],
+                    ["doc_id", "raw", "item_id", "score", "question_share", "answer_share"])
     return search
 
 
@@ -234,9 +235,11 @@ def index_items(items: DataFrame, part_postings: int = PART_POSTINGS) -> tuple[D
 
 def contaminated(docs: DataFrame, items: DataFrame, score: float = SCORE, question: float = QUESTION, answer: float = ANSWER,
                  part_postings: int = PART_POSTINGS) -> DataFrame:
-    """(doc_id, item_id, score, question_share, answer_share): one row per leaked item in a document."""
+    """(doc_id, raw, item_id, score, question_share, answer_share): one row per leaked item in a
+    document; ``raw`` is the MD5 of its text."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.unhex(F.md5("text")).alias("raw")) \
+        .where("text is not null")
     entries, postings = index_items(items, part_postings)
     out = spark.createDataFrame([], HITS)
     for r in entries.select("part").distinct().orderBy("part").toLocalIterator():
@@ -249,4 +252,4 @@ def contaminated(docs: DataFrame, items: DataFrame, score: float = SCORE, questi
 
 def op3_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = sf_dir.rstrip("/")
-    return contaminated(spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/benchmark.parquet"))
+    return contaminated(spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/benchmark.parquet")).drop("raw")

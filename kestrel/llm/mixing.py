@@ -104,11 +104,11 @@ def balance(histogram: DataFrame, targets: DataFrame, cap: float = CAP) -> DataF
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """Per row: doc_id, source, size, source_size, target, rate, copies, taken."""
+    """Per row: doc_id, raw (MD5 of the text), source, size, source_size, target, rate, copies, taken."""
     text = F.coalesce("text", F.lit(""))
     hashed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
     rows = materialise(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("raw"), "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         (F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))).alias("u")), "mix-rows")
     histogram = materialise(rows.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -124,7 +124,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     rated = rated.withColumn("z", F.when((F.col("part") > 0) & (F.col("size") > 0), F.least(
         F.lit(span - 1), F.floor((F.col("u") - F.col("part") + 1) / 2 * span).cast("long"))))
     rated = materialise(rated.select(
-        "doc_id", "source", "size", "source_size", "target", "rate", F.col("whole").alias("copies"), "z"), "mix-rates")
+        "doc_id", "raw", "source", "size", "source_size", "target", "rate", F.col("whole").alias("copies"), "z"), "mix-rates")
     for turn in range(TURNS):
         left = rated.groupBy(F.col("source").alias("_s")).agg(
             (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("_need"))
@@ -137,10 +137,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
         joined = rated.join(hinted(_thresholds(drawn)), _same("source", "_s"), "left")
         more = F.coalesce((F.col("z") < F.col("_cut")) & ((F.col("size") <= F.col("_need")) if turn else F.lit(True)), F.lit(False))
         rated = materialise(joined.select(
-            "doc_id", "source", "size", "source_size", "target", "rate", (F.col("copies") + more.cast("long")).alias("copies"),
+            "doc_id", "raw", "source", "size", "source_size", "target", "rate", (F.col("copies") + more.cast("long")).alias("copies"),
             F.when(~more, F.col("z")).alias("z")), "mix-rates")
     rated = _one_more(rated)
-    return rated.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
+    return rated.select("doc_id", "raw", "source", "size", "source_size", "target", "rate", "copies",
                         (F.col("copies") * F.col("size")).alias("taken"))
 
 

@@ -42,7 +42,7 @@ STEPS, SETTLED = 12, 1e-3
 VECTOR = {"v_word": 0.08, "v_symbol": 0.06, "v_dup": 0.12, "v_repeat": 0.12, "v_upper": 0.08, "v_punct": 0.06}
 DIM = len(VECTOR)
 
-STATS = ("doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+STATS = ("doc_id long, raw binary, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
          "n_repeat_words long, n_upper long, n_punct long, n_lines long")
 
 _SPACE = b" \t\n\r\x0b\x0c"
@@ -85,10 +85,10 @@ def text_statistics(text: str) -> tuple:
 
 
 def _statistics(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(source, column=3):
-        rows = [text_statistics(t or "") for t in batch.column(3).to_pylist()]
+    for batch in batches(source, column=4):
+        rows = [text_statistics(t or "") for t in batch.column(4).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            batch.columns[:3] + [pa.array(c, pa.int64()) for c in zip(*rows)],
+            batch.columns[:4] + [pa.array(c, pa.int64()) for c in zip(*rows)],
             [c.split()[0] for c in STATS.split(", ")])
 
 
@@ -100,7 +100,8 @@ def _share(part: str, whole: str) -> Column:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """Per row: the statistics, ``base_failed`` and the transformed vector."""
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", "text")
+    text = F.coalesce("text", F.lit(""))
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("raw"), "lang", "source", text.alias("text"))
     return cols.mapInArrow(_statistics, STATS).withColumns({
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
         "v_word": F.log1p(F.coalesce(F.try_divide("word_chars", "n_words"), F.lit(0.0))),
@@ -212,7 +213,7 @@ def _distances(vectors: DataFrame, fit: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, alpha: float = ALPHA, min_group: int = MIN_GROUP, subset: float = SUBSET) -> DataFrame:
-    """Per row: doc_id, the counts, ``base_failed``, ``distance`` (null: no estimate), ``kept``."""
+    """Per row: doc_id, raw (MD5 of the text), the counts, ``base_failed``, ``distance`` (null: no estimate), ``kept``."""
     stats = materialise(statistics(docs), "quality-stats")
     named = _named(stats, min_group)
     vectors = materialise(named.where("not base_failed and grp is not null").select("grp", *VECTOR), "quality-vectors")
@@ -220,7 +221,7 @@ def judge(docs: DataFrame, alpha: float = ALPHA, min_group: int = MIN_GROUP, sub
     out = named.join(fit, F.col("grp") == F.col("_g"), "left").withColumn("distance", _distance())
     limit = chi2_quantile(1 - alpha, DIM)
     return out.select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "doc_id", "raw", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)).alias("kept"))
 
 
@@ -247,4 +248,4 @@ def chi2_quantile(p: float, k: int) -> float:
 
 
 def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")).drop("lang", "source")
+    return judge(spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")).drop("raw", "lang", "source")
