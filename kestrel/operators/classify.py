@@ -47,10 +47,11 @@ def assemble(df: DataFrame, features: tuple[str, ...], label: str | None = "Surv
     return va.transform(base)
 
 
-def estimator(kind: str, seed: int = 42):
-    """The model settings of the original jobs."""
+def estimator(kind: str, seed: int = 42, tol: float = 1e-4):
+    """The model settings of the original jobs; ``tol``: convergence of the L-BFGS run."""
     if kind == "lr":  # L-BFGS, two classes, intercept, no regularisation, tolerance 1e-4 (M04)
-        return LogisticRegression(family="binomial", fitIntercept=True, regParam=0.0, maxIter=100, tol=1e-4)
+        return LogisticRegression(family="binomial", fitIntercept=True, regParam=0.0, maxIter=100 if tol >= 1e-4 else 1000,
+                                  tol=tol)
     if kind == "lr_sgd":  # SGD defaults: 100 iterations, L2 0.01, no intercept (M05)
         return LogisticRegression(family="binomial", fitIntercept=False, regParam=0.01, elasticNetParam=0.0,
                                   standardization=False, maxIter=100)
@@ -62,12 +63,9 @@ def estimator(kind: str, seed: int = 42):
     raise ValueError(f"unknown estimator {kind!r}")
 
 
-def _fit(kind: str, data: DataFrame, seed: int = 42):
-    data = data.select("label", "features").persist()
-    try:
-        return estimator(kind, seed).fit(data)
-    finally:
-        data.unpersist()
+def _fit(kind: str, data: DataFrame, seed: int = 42, tol: float = 1e-4):
+    """Fit on ``data``; iterative estimators cache what they read themselves."""
+    return estimator(kind, seed, tol).fit(data.select("label", "features"))
 
 
 @dataclass
@@ -89,10 +87,10 @@ class SegmentedModel:
         return out
 
 
-def fit_model(kind: str, data: DataFrame, segment: str | None = None, seed: int = 42):
+def fit_model(kind: str, data: DataFrame, segment: str | None = None, seed: int = 42, tol: float = 1e-4):
     if segment is None:
-        return _fit(kind, data, seed)
-    return SegmentedModel(segment, {v: _fit(kind, data.where(F.col(segment) == v), seed) for v in (0.0, 1.0)})
+        return _fit(kind, data, seed, tol)
+    return SegmentedModel(segment, {v: _fit(kind, data.where(F.col(segment) == v), seed, tol) for v in (0.0, 1.0)})
 
 
 def validate(model, valid: DataFrame) -> DataFrame:

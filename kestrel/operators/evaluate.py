@@ -19,6 +19,10 @@ from kestrel.operators.ranking import keyed_prefix_sums
 from kestrel.session import cut_lineage
 
 
+#: Products of two row counts need more than 64 bits when one user is hot.
+_WIDE = "decimal(19,0)"
+
+
 def error_rate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Misclassified fraction (E01, A06) and row count (A15), one pass."""
     return pred.agg(
@@ -35,12 +39,17 @@ def micro_metrics(pred: DataFrame, label: str = "label", prediction: str = "pred
 
 
 def per_class_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Per class: true positives, predicted count, actual count, precision, recall."""
-    lab = pred.groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("actual"))
-    prd = pred.groupBy(F.col(prediction).alias("class")).agg(F.count(F.lit(1)).alias("predicted"))
-    tp = pred.where(F.col(label) == F.col(prediction)).groupBy(F.col(label).alias("class")) \
-        .agg(F.count(F.lit(1)).alias("tp"))
-    out = lab.join(prd, "class", "full").join(tp, "class", "left").fillna(0, ["tp", "actual", "predicted"])
+    """Per class: true positives, predicted count, actual count, precision, recall.
+
+    One pass over the rows: the (label, prediction) counts are all it needs."""
+    counts = pred.groupBy(F.col(label).alias("_l"), F.col(prediction).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    sides = counts.select("_n", F.explode(F.array(
+        F.struct(F.col("_l").alias("class"), F.lit(1).alias("actual"), F.lit(0).alias("predicted"),
+                 (F.col("_l") == F.col("_p")).cast("int").alias("tp")),
+        F.struct(F.col("_p").alias("class"), F.lit(0).alias("actual"), F.lit(1).alias("predicted"),
+                 F.lit(0).alias("tp")))).alias("x"))
+    out = sides.groupBy("x.class").agg(*[F.sum(F.col("_n") * F.coalesce(F.col(f"x.{c}"), F.lit(0))).alias(c)
+                                         for c in ("tp", "predicted", "actual")])
     return out.select("class", "tp", "predicted", "actual",
                       (F.col("tp") / F.nullif(F.col("predicted"), F.lit(0))).alias("precision"),
                       (F.col("tp") / F.nullif(F.col("actual"), F.lit(0))).alias("recall"))
@@ -53,7 +62,7 @@ def user_auc(pos_scored: DataFrame, neg_scored: DataFrame, user: str = "user",
     Every positive row is compared with every negative row of its user
     (duplicates count as many times as they occur); a tie is not a correct
     ranking.  Users lacking positives or negatives are dropped (inner join
-    semantics, J01).  Returns (user, n_pos, n_neg, correct, auc).
+    semantics, J01).  Returns (user, n_pos, n_neg, correct decimal, auc).
     """
     rows = (pos_scored.select(F.col(user).alias("user"), F.col(score).alias("score"),
                               F.lit(1).cast("bigint").alias("np"), F.lit(0).cast("bigint").alias("nn"))
@@ -65,10 +74,10 @@ def user_auc(pos_scored: DataFrame, neg_scored: DataFrame, user: str = "user",
     below = keyed_prefix_sums(levels, "user", "score", ["nn"], hot_rows=hot_rows)
     per_user = below.groupBy("user").agg(
         F.sum("np").alias("n_pos"), F.sum("nn").alias("n_neg"),
-        F.sum(F.col("np") * F.col("nn_before")).alias("correct"))
+        F.sum(F.col("np").cast(_WIDE) * F.col("nn_before").cast(_WIDE)).cast("decimal(38,0)").alias("correct"))
     per_user = per_user.where((F.col("n_pos") > 0) & (F.col("n_neg") > 0))
     return per_user.select(F.col("user").alias(user), "n_pos", "n_neg", "correct",
-                           (F.col("correct") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"))
+                           (F.col("correct").cast("double") / (F.col("n_pos").cast("double") * F.col("n_neg"))).alias("auc"))
 
 
 def mean_user_auc(pos_scored: DataFrame, neg_scored: DataFrame, user: str = "user",

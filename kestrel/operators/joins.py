@@ -1,12 +1,10 @@
 """Lookup, membership and exclusion joins.
 
 Lookup sides derived from data (alias maps, group means, listen counts)
-have no static size bound, so they are joined without a hint: adaptive
-query execution measures the lookup side once its stage has run and turns
-the join into a broadcast join only when the measured size is below
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the join
-stays a shuffle join.  An explicit broadcast is used only when the caller
-passes a proven row bound (``max_rows``) – e.g. a table it has counted.
+have no static size bound.  ``lookup_side`` writes such a side once, measures
+it and hints a broadcast only under a byte limit: then the big side is not
+shuffled at all.  Beyond the limit the join is a shuffle join whose skewed
+partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -16,24 +14,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+from kestrel.session import scratch_path
 
+LOOKUP_BYTES = 64 << 20
+#: Size of rows in memory for a byte of compressed columns on disk.
+UNPACKED = 6
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a proven row bound.
 
-    With ``known_rows`` (a count the caller already has) no job runs;
-    otherwise one bounded counting job (``limit(max_rows + 1)``) checks it.
-    Above the bound the table is returned unhinted (shuffle join / AQE).
-    """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def lookup_side(df: DataFrame, max_bytes: int = LOOKUP_BYTES) -> DataFrame:
+    """``df`` written below the shared folder, hinted for broadcast if its measured size allows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "lookup")
+    df.write.parquet(path)
+    side = spark.read.schema(df.schema).parquet(path)
+    size = int(side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(side) if UNPACKED * size <= max_bytes else side
 
 
 def lookup_with_default(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], value: str,
-                        default: Column | None, out: str, max_broadcast_rows: int | None = None,
-                        keep: Column | None = None) -> DataFrame:
+                        default: Column | None, out: str, keep: Column | None = None) -> DataFrame:
     """``map.getOrElse(key, default)`` as a left join.
 
     ``lookup`` must be unique on ``on``.  ``keep`` (a Column over the left
@@ -42,10 +41,7 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, on: str | Sequence[str
     looked-up value or ``default``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    side = lookup.select(*keys, F.col(value).alias("_lk"))
-    if max_broadcast_rows is not None:
-        side = broadcast_if_small(side, max_broadcast_rows)
-    joined = df.join(side, keys, "left")
+    joined = df.join(lookup_side(lookup.select(*keys, F.col(value).alias("_lk"))), keys, "left")
     fill = F.col("_lk") if default is None else F.coalesce(F.col("_lk"), default)
     new = fill if keep is None else F.when(keep, F.col(out)).otherwise(fill)
     cols = [c for c in df.columns if c != out]
@@ -55,7 +51,7 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, on: str | Sequence[str
 def resolve_alias(df: DataFrame, alias: DataFrame, col: str = "item",
                   bad: str = "bad_id", good: str = "good_id") -> DataFrame:
     """Canonical id or the id itself (J02): ``alias.getOrElse(id, id)``."""
-    side = alias.select(F.col(bad).alias(col), F.col(good).alias("_good"))
+    side = lookup_side(alias.select(F.col(bad).alias(col), F.col(good).alias("_good")))
     joined = df.join(side, col, "left")
     return joined.select(*[F.coalesce("_good", col).alias(col) if c == col else F.col(c) for c in df.columns])
 

@@ -4,16 +4,15 @@ A plain ``Window.partitionBy(key)`` sends every row of a key to one task;
 with one key holding a third of the data that task is the job.  These
 helpers keep every task bounded:
 
-* ``dense_index``: 0-based position of each row in a global order.  Small,
-  counted tables use one window; larger ones are range-partitioned,
-  numbered inside each range and shifted by the row counts of the earlier
-  ranges (a table with one row per partition).
+* ``dense_index``: 0-based position of each row in a global order: range
+  partitions, numbered inside each and shifted by the row counts of the
+  earlier ones (a table with one row per partition).
 * ``keyed_prefix_sums``: per key, the sum of some values over the rows
   that come strictly before the row in a given order.  Ordinary keys use
   one window per key; hot keys (more than ``hot_rows`` rows) are
   range-partitioned on (key, order) so that each spans many bounded
   partitions, and local running sums are completed with per-(partition,
-  key) offsets.
+  key) offsets.  ``hot_rows`` changes the plan alone, not the result.
 * ``blocked_prefix_sums``: the same over a dense integer order (draw
   numbers), with fixed blocks instead of range partitions: deterministic
   and bounded without any checkpoint.
@@ -46,28 +45,24 @@ def _as_list(x) -> list[str]:
 
 
 def dense_index(df: DataFrame, order_cols: str | Sequence[str], index_col: str = "idx",
-                num_partitions: int | None = None, n_rows: int | None = None,
-                single_task_max: int = 5_000_000) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Add ``index_col`` = 0-based rank of the row in ``order_cols`` order.
 
-    The order columns must be unique (e.g. a distinct key column).  When the
-    caller knows the row count and it is at most ``single_task_max`` (the
-    same bound under which the table may be broadcast), one window numbers
-    the rows; otherwise the distributed form below is used.
+    The order columns must be unique (e.g. a distinct key column).  Rows are
+    range-partitioned and written; a row's number in its partition is part
+    of what is written, so that only the partitions' counts are summed up.
     """
     order = _as_list(order_cols)
-    if n_rows is not None and n_rows <= single_task_max:
-        return df.withColumn(index_col, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
     n = _parts(df, num_partitions)
-    tagged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
-    local = tagged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    tagged = cut_lineage(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    part, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = tagged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a proven size bound for the broadcast
     offsets = counts.select(
         "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    out = local.join(F.broadcast(offsets), "_pid")
-    return out.select(*df.columns, (F.col("_off") + F.col("_local")).cast("bigint").alias(index_col))
+    out = tagged.withColumn("_pid", part).join(F.broadcast(offsets), "_pid")
+    return out.select(*df.columns, (F.col("_off") + row).cast("bigint").alias(index_col))
 
 
 def _range_prefix_sums(df: DataFrame, keys: list[str], orders: list[str], values: Sequence[str],

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.evaluate import mean_user_auc, user_auc
+from kestrel.operators.joins import lookup_side
 from kestrel.operators.ranking import dense_index, top_k_per_key
 from kestrel.operators.sampling import k_folds, negative_samples
 from kestrel.session import checkpoint_dir, cut_lineage
@@ -49,9 +50,13 @@ def _id_map(ids: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def fit_als(ratings: DataFrame, rank: int = DEFAULT_RANK, max_iter: int = DEFAULT_ITER,
-            reg: float = DEFAULT_REG, alpha: float = DEFAULT_ALPHA, seed: int = 42) -> RecModel:
+            reg: float = DEFAULT_REG, alpha: float = DEFAULT_ALPHA, seed: int = 42,
+            blocks: int | None = None) -> RecModel:
     """``ALS.trainImplicit(ratings, rank, iterations, lambda, alpha)``.
 
+    ``blocks``: user and item blocks, by default one per core of the
+    cluster (the library's own default of ten would leave the others idle).
+
     ALS needs int ids.  One aggregate checks the id ranges: ids that fit are
     cast; otherwise users and items are mapped to dense ints with the
     distributed ``dense_index`` (no single-task numbering) and mapped back
@@ -68,7 +73,8 @@ def fit_als(ratings: DataFrame, rank: int = DEFAULT_RANK, max_iter: int = DEFAUL
         users, items = _id_map(ratings, "user", "_u"), _id_map(ratings, "item", "_i")
         data = (ratings.join(users, "user").join(items, "item")
                 .select(F.col("_u").alias("user"), F.col("_i").alias("item"), F.col("rating").cast("float")))
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True,
+    blocks = blocks or max(2, ratings.sparkSession.sparkContext.defaultParallelism)
+    als = ALS(numUserBlocks=blocks, numItemBlocks=blocks, rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True,
               userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop",
               seed=seed, checkpointInterval=10)
     return RecModel(als.fit(data), users, items)
@@ -93,7 +99,7 @@ def als_scorer(rm: RecModel) -> Scorer:
 
 def popularity_scores(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """Popularity baseline (M14): total training rating of the item, else 0.0."""
-    listens = train.groupBy("item").agg(F.sum("rating").alias("_total"))  # AQE broadcasts it when small
+    listens = lookup_side(train.groupBy("item").agg(F.sum("rating").alias("_total")))
     return pairs.join(listens, "item", "left").select(
         "user", "item", F.coalesce(F.col("_total"), F.lit(0.0)).alias("score"))
 
@@ -117,14 +123,14 @@ def evaluate_auc(held_out: DataFrame, all_items: DataFrame, scorer: Scorer, seed
 
 
 def cross_validated_auc(ratings: DataFrame, all_items: DataFrame, k: int = 10, seed: int = 500,
-                        rank: int = DEFAULT_RANK, max_iter: int = DEFAULT_ITER, reg: float = DEFAULT_REG,
-                        alpha: float = DEFAULT_ALPHA) -> DataFrame:
-    """k-fold cross-validated mean AUC (M15, X03, A17): (fold, mean_auc) rows
-    plus the average over folds."""
+                        fit: Callable[[DataFrame], Scorer] | None = None) -> DataFrame:
+    """k-fold cross-validated mean AUC (M15, X03, A17): (fold, mean_auc, users) rows.
+
+    ``fit`` turns a fold's training rows into a scorer, by default the ALS model."""
+    fit = fit or (lambda train: als_scorer(fit_als(train)))
     results = []
     for i, (train, valid) in enumerate(k_folds(ratings, k, seed, ["user", "item", "cnt"])):
-        model = fit_als(train, rank, max_iter, reg, alpha)
-        auc = evaluate_auc(valid, all_items, als_scorer(model), seed=seed + i)
+        auc = evaluate_auc(valid, all_items, fit(train), seed=seed + i)
         results.append(auc.select(F.lit(i).alias("fold"), "mean_auc", "users"))
     folds = results[0]
     for r in results[1:]:
@@ -135,11 +141,15 @@ def cross_validated_auc(ratings: DataFrame, all_items: DataFrame, k: int = 10, s
 def grid_search(train: DataFrame, held_out: DataFrame, all_items: DataFrame,
                 ranks: Sequence[int], regs: Sequence[float], alphas: Sequence[float],
                 max_iter: int = 10, seed: int = 7) -> DataFrame:
-    """AUC per (rank, lambda, alpha), best first."""
+    """AUC per (rank, lambda, alpha), best first.
+
+    All settings are judged on the same negatives, which are drawn once."""
+    positives = cut_lineage(held_out.select("user", "item"))
+    negatives = cut_lineage(negative_samples(positives, all_items, seed).select("user", "item"))
     rows = []
     for rank, reg, alpha in product(ranks, regs, alphas):
-        model = fit_als(train, rank, max_iter, reg, alpha)
-        auc = evaluate_auc(held_out, all_items, als_scorer(model), seed=seed)
+        score = als_scorer(fit_als(train, rank, max_iter, reg, alpha))
+        auc = mean_user_auc(score(positives), score(negatives))
         rows.append(auc.select(F.lit(rank).alias("rank"), F.lit(float(reg)).alias("lambda"),
                                F.lit(float(alpha)).alias("alpha"), "mean_auc"))
     out = rows[0]

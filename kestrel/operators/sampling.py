@@ -11,10 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions.hashing import hash_bucket, hash_fraction
+from kestrel.operators.joins import lookup_side
 from kestrel.operators.ranking import blocked_prefix_sums, dense_index
-from kestrel.session import cut_lineage
+from kestrel.session import cut_lineage, scratch_path
 
 
 def split_column(key_cols: Sequence[str], weights: Sequence[float], seed: int) -> F.Column:
@@ -43,8 +45,14 @@ def fold_column(key_cols: Sequence[str], k: int, seed: int) -> F.Column:
 
 
 def k_folds(df: DataFrame, k: int, seed: int, key_cols: Sequence[str]) -> list[tuple[DataFrame, DataFrame]]:
-    """k (training, validation) pairs; the validation folds partition the rows."""
-    tagged = df.withColumn("_fold", fold_column(key_cols, k, seed))
+    """k (training, validation) pairs; the validation folds partition the rows.
+
+    The fold is computed once and the rows are written by fold, so that each
+    of the 2 k reads prunes the other folders."""
+    path = scratch_path(df.sparkSession, "folds")
+    df.withColumn("_fold", fold_column(key_cols, k, seed)).write.partitionBy("_fold").parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField("_fold", T.IntegerType())])
+    tagged = df.sparkSession.read.schema(schema).parquet(path)
     return [(tagged.where(F.col("_fold") != i).drop("_fold"), tagged.where(F.col("_fold") == i).drop("_fold"))
             for i in range(k)]
 
@@ -94,9 +102,7 @@ def negative_samples(positives: DataFrame, items: DataFrame, seed: int,
     n_items = items.count()
     if n_items == 0:
         return spark.createDataFrame([], "user int, item int, draw bigint")
-    indexed = dense_index(items.select("item"), "item", "idx", n_rows=n_items)
-    # the indexed item list has exactly n_items rows: broadcast only under the bound
-    indexed = F.broadcast(indexed) if n_items <= 5_000_000 else indexed
+    indexed = lookup_side(dense_index(items.select("item"), "item", "idx"))
 
     state = (pos.groupBy("user").agg(F.count(F.lit(1)).alias("_p"))
              .select("user", "_p", F.lit(0).cast("bigint").alias("_done"),
@@ -115,7 +121,8 @@ def negative_samples(positives: DataFrame, items: DataFrame, seed: int,
         draws = _draw_rows(active, chunk)
         draws = draws.withColumn("idx", hash_bucket(n_items, F.col("user"), F.col("draw"), seed))
         cand = draws.join(indexed, "idx").drop("idx")
-        cand = cand.join(pos, ["user", "item"], "left_anti").withColumn("_one", F.lit(1))
+        # ranking reads the candidates twice (blocks and rows): written once
+        cand = cut_lineage(cand.join(pos, ["user", "item"], "left_anti").withColumn("_one", F.lit(1)))
         ranked = blocked_prefix_sums(cand, "user", "draw", ["_one"], block=chunk)
         accepted = cut_lineage(ranked.where(F.col("_got") + F.col("_one_before") < F.col("_p"))
                                .select("user", "item", "draw"))
@@ -125,8 +132,7 @@ def negative_samples(positives: DataFrame, items: DataFrame, seed: int,
                  .select("user", "_p",
                          F.coalesce("_end", "_done").alias("_done"),
                          (F.col("_got") + F.coalesce("_new", F.lit(0))).alias("_got")))
-        if rounds % 4 == 0:
-            state = cut_lineage(state)
+        state = cut_lineage(state)
         factor *= 2
     out = accepted_parts[0]
     for part in accepted_parts[1:]:

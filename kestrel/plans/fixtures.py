@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.session import scratch_path
 from kestrel.sources.tables import load
+from kestrel.sources.text import read_text, write_text
 
 BOOKINGS = """
 select cast(o_orderkey as string) as PassengerId,
@@ -108,29 +109,23 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+#: Views that stand for text files (one string column ``value``); the others are read as they are.
+_TEXT = {n for n in VIEWS if n.endswith("_raw") and n != "numeric_raw"}
+_FILES = 8
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, materialize: bool = True) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build one derived view as a Spark DataFrame.
 
-    The raw-text views stand in for text files, so by default each is
-    written once per application as a multi-file table in the shared
-    checkpoint folder and read back like a file source; parsers then scan
-    it in parallel and their filters run on stored lines instead of being
-    pushed into the generating expressions.
+    A raw-text view is written as text files below the shared checkpoint
+    folder and read back line by line, so that its parser scans files in
+    parallel and its filters run on stored lines.
     """
     text, tables = VIEWS[name]
     df = spark.sql(text, **{t: load(spark, sf_dir, t) for t in tables})
-    if not materialize:
+    if name not in _TEXT:
         return df
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = scratch_path(spark, f"fixture-{name}")
-        df.write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    return read_text(spark, write_text(df.repartition(_FILES), scratch_path(spark, f"fixture-{name}")))
 
 
 def view_sql(name: str) -> str:

@@ -9,10 +9,10 @@ from kestrel.operators.recommend import evaluate_auc, format_recommendations, po
 from kestrel.operators.sampling import fold_column, negative_samples, split_column
 from kestrel.plans import derived as D
 from kestrel.plans.derived import oracle
-from kestrel.plans.fixtures import view
 from kestrel.plans.q_relational import RATING_SEED, RATING_SPLIT, rating_split, rating_split_sql
 from kestrel.plans.registry import query
 from kestrel.session import cut_lineage
+from kestrel.sources.tables import load
 
 NEG_SEED = 7  # seed of the negative draws
 FOLDS, FOLD_SEED = 10, 500  # fixed values: 10-fold cross-validation with seed 500
@@ -66,6 +66,34 @@ negs as (select "user", item, draw from
            (select *, row_number() over (partition by "user" order by draw) as rk from nonpos) where rk <= p)"""
 
 
+#: Cross-validation of the popularity scorer: negatives per (fold, user), seeded by fold.
+SQL_CV = f"""
+folds as (select r.*, cast({_md5_u32('cast("user" as varchar)', 'cast(item as varchar)', 'cast(cnt as varchar)', f"'{FOLD_SEED}'")}
+                           % {FOLDS} as int) as fold from ratings r),
+fheld as (select distinct fold, "user", item from folds),
+fpc as (select fold, "user", count(*) as p from fheld group by all),
+it as (select item, row_number() over (order by item) - 1 as idx from (select distinct item from ratings)),
+nitems as (select count(*) as n from it),
+fdraws as (
+  select fold, "user", p, draw,
+         {_md5_u32('cast("user" as varchar)', 'cast(draw as varchar)', f"cast({FOLD_SEED} + fold as varchar)")}
+           % (select n from nitems) as idx
+  from (select fold, "user", p, unnest(generate_series(1, least(4 * p + 200, (select n from nitems)))) as draw from fpc)),
+fcand as (select d.fold, d."user", d.p, d.draw, it.item from fdraws d join it on it.idx = d.idx),
+fnonpos as (select c.* from fcand c where not exists
+              (select 1 from fheld h where h.fold = c.fold and h."user" = c."user" and h.item = c.item)),
+fnegs as (select fold, "user", item from
+            (select *, row_number() over (partition by fold, "user" order by draw) as rk from fnonpos) where rk <= p),
+flisten as (select v.fold, f.item, sum(f.rating) as total from (select distinct fold from folds) v
+            join folds f on f.fold <> v.fold group by all),
+fps as (select f.fold, f."user", coalesce(l.total, 0.0) as score from folds f
+        left join flisten l on l.fold = f.fold and l.item = f.item),
+fns as (select n.fold, n."user", coalesce(l.total, 0.0) as score from fnegs n
+        left join flisten l on l.fold = n.fold and l.item = n.item),
+per as (select p.fold, p."user", avg(case when p.score > n.score then 1.0 else 0.0 end) as auc
+        from fps p join fns n on p.fold = n.fold and p."user" = n."user" group by all)"""
+
+
 def _held_and_items(spark, sf):
     # split, item list and scoring all read the ratings: parse them once
     ratings = cut_lineage(D.ratings(spark, sf))
@@ -97,7 +125,7 @@ from cnt c join per on c."user" = per."user\"""", "ratings", ctes=_SQL_AUC), "E0
 def q_auc_by_user(spark, sf):
     train, held, items = _held_and_items(spark, sf)
     out = evaluate_auc(held, items, popularity_scorer(train), seed=NEG_SEED, per_user=True)
-    return out.select("user", "n_pos", "n_neg", "correct", F.round("auc", 6).alias("auc"))
+    return out.select("user", "n_pos", "n_neg", F.col("correct").cast("bigint").alias("correct"), F.round("auc", 6).alias("auc"))
 
 
 @query("auc_popularity", oracle("""
@@ -151,17 +179,17 @@ select doc_id, cast(((h - case when h >= 2147483648 then 4294967296 else 0 end)
          as idx, cast(count(*) as double) as tf
 from (select doc_id, {_SQL_JHASH} as h from
         (select doc_id, unnest(case when text = '' then [''] when rtrim(text, ' ') = '' then []::varchar[]
-                                    else string_split(rtrim(text, ' '), ' ') end) as token from messages))
-group by all""", views=("messages",)), "M01 C14 C01")
+                                    else string_split(rtrim(text, ' '), ' ') end) as token from documents))
+group by all"""), "M01 C14 C01")
 def q_hash_tf_tokens(spark, sf):
-    return hashed_tf(view(spark, sf, "messages"), 10_000)
+    return hashed_tf(load(spark, sf, "documents"), 10_000)
 
 
 @query("hash_tf_chars", oracle("""
 select doc_id, cast(u % 10000 as int) as idx, cast(count(*) as double) as tf
 from (select doc_id, unnest(case when cp > 65535 then [55296 + ((cp - 65536) >> 10), 56320 + ((cp - 65536) & 1023)]
                                  else [cp] end) as u
-      from (select doc_id, unicode(unnest(string_split(text, ''))) as cp from messages where text <> ''))
-group by all""", views=("messages",)), "M02")
+      from (select doc_id, unicode(unnest(string_split(text, ''))) as cp from documents where text <> ''))
+group by all"""), "M02")
 def q_hash_tf_chars(spark, sf):
-    return char_tf(view(spark, sf, "messages"), 10_000)
+    return char_tf(load(spark, sf, "documents"), 10_000)

@@ -36,6 +36,18 @@ def _jvm_split(col, sep: str):
             .otherwise(F.split(trimmed, pattern, -1)))
 
 
+def _int_or_fail(token, message: str):
+    """A plain integer; a token that is none (or missing) fails the job."""
+    return F.coalesce(parse_int_strict(token), F.raise_error(F.lit(message)).cast("int"))
+
+
+def _true_or_false(token):
+    """``toBoolean``: true or false in any case; anything else fails the job."""
+    low = F.lower(token)
+    return F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False)).otherwise(
+        F.raise_error(F.lit("malformed match flag")).cast("boolean"))
+
+
 def parse_triples(df: DataFrame, on_error: str = "fail") -> DataFrame:
     """``"user item count"`` → (user int, item int, cnt int)  (S04)."""
     _check_mode(on_error)
@@ -49,7 +61,8 @@ def parse_triples(df: DataFrame, on_error: str = "fail") -> DataFrame:
     checked = F.when(F.size("t") == 3, F.col("t")).otherwise(
         F.raise_error(F.lit("malformed rating line")).cast("array<string>"))
     parts = parts.select(checked.alias("t"))
-    return parts.select(*[F.col("t")[i].cast("int").alias(n) for i, n in enumerate(("user", "item", "cnt"))])
+    return parts.select(*[_int_or_fail(F.col("t")[i], "malformed rating line").alias(n)
+                          for i, n in enumerate(("user", "item", "cnt"))])
 
 
 def parse_id_name(df: DataFrame) -> DataFrame:
@@ -66,13 +79,14 @@ def parse_id_name(df: DataFrame) -> DataFrame:
 def parse_alias(df: DataFrame) -> DataFrame:
     """``bad<TAB>good`` → (bad_id int, good_id int)  (S06).
 
-    An empty first token drops the line; otherwise both tokens must be
-    integers (a bad one fails the job, as the original does).
+    An empty first token drops the line; otherwise both tokens must be there
+    and be plain integers, without blanks around them (anything else fails
+    the job, as the original does).
     """
     tok = _jvm_split("value", "\t")
     parts = df.select(tok.alias("t")).where(F.col("t")[0] != "")
-    return parts.select(F.trim(F.col("t")[0]).cast("int").alias("bad_id"),
-                        F.trim(F.get(F.col("t"), 1)).cast("int").alias("good_id"))
+    return parts.select(_int_or_fail(F.col("t")[0], "malformed alias line").alias("bad_id"),
+                        _int_or_fail(F.get(F.col("t"), 1), "malformed alias line").alias("good_id"))
 
 
 def is_header(col="value", marker: str = "id_1"):
@@ -97,7 +111,7 @@ def parse_pairs(df: DataFrame, n_scores: int = 9) -> DataFrame:
         guarded(F.col("p")[0].cast("int")).alias("id_1"),
         guarded(F.col("p")[1].cast("int")).alias("id_2"),
         guarded(scores).alias("scores"),
-        guarded(F.col("p")[2 + n_scores].cast("boolean")).alias("matched"),
+        guarded(_true_or_false(F.col("p")[2 + n_scores])).alias("matched"),
     )
 
 

@@ -75,3 +75,15 @@ def test_splits_partition_rows(spark):
     # same seed, same split, whatever the partitioning
     again = hash_split(df.repartition(3), (0.7, 0.3), 12345, ["k"])[0]
     assert sorted(r.k for r in again.collect()) == sorted(r.k for r in a.collect())
+
+
+def test_hot_user_counts_do_not_overflow(spark, monkeypatch):
+    """One user with 4e9 positives above 4e9 negatives: 1.6e19 right pairs."""
+    from pyspark.sql import functions as F
+    from kestrel.operators import evaluate
+    big = 4_000_000_000
+    levels = spark.createDataFrame([(1, 0.0, 0, big), (1, 1.0, big, 0)], "user int, score double, np long, nn long")
+    monkeypatch.setattr(evaluate, "cut_lineage", lambda _: levels)
+    empty = spark.createDataFrame([], "user int, score double")
+    r = evaluate.user_auc(empty, empty).select("auc", F.col("correct").cast("string")).first()
+    assert r.auc == 1.0 and r.correct == str(big * big)

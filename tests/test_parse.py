@@ -18,8 +18,9 @@ def test_id_name_drop_rules(spark):
 def test_alias_rules(spark):
     got = sorted(tuple(r) for r in parse.parse_alias(lines(spark, ["1\t10", "\t99", "2\t20"])).collect())
     assert got == [(1, 10), (2, 20)]
-    with pytest.raises(Exception):
-        parse.parse_alias(lines(spark, ["x\t10"])).collect()
+    for bad in ("x\t10", "7", "7\t", " 7\t 8 ", "7\t8x"):
+        with pytest.raises(Exception):
+            parse.parse_alias(lines(spark, [bad])).collect()
 
 
 def test_triples_fail_and_drop(spark):
@@ -50,3 +51,15 @@ def test_numeric_lines_golden(spark):
     rows = parse.parse_numeric_lines(df).orderBy("line_no").collect()
     assert [list(r["values"]) for r in rows] == [[12.0, 15.0], [17.0, 34.0], [56.0, 67.0]]
     assert [list(r["values"]) for r in rows[:2]] == [[12.0, 15.0], [17.0, 34.0]]  # take(2)
+
+
+def test_strict_numbers_and_flags(spark):
+    for bad in ("1 2\t 3", "1 2 3x", "1 2 3.0"):
+        with pytest.raises(Exception):
+            parse.parse_triples(lines(spark, [bad])).collect()
+        assert parse.parse_triples(lines(spark, [bad]), on_error="drop").count() == 0
+    head = "1,2," + ",".join("0.5" for _ in range(9)) + ","
+    assert [r.matched for r in parse.parse_pairs(lines(spark, [head + "TRUE", head + "false"])).collect()] == [True, False]
+    for bad in ("1", "yes", "t", ""):
+        with pytest.raises(Exception):
+            parse.parse_pairs(lines(spark, [head + bad])).collect()
