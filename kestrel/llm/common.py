@@ -52,7 +52,12 @@ def bounded(df: DataFrame, name: str, max_bytes: int = BROADCAST_BYTES, factor:
 
 def hinted(df: DataFrame, written: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES, factor: int = 6) -> DataFrame:
     """``df`` with a broadcast hint if the written frame it is a part of (itself by default) is within the bound."""
-    return F.broadcast(df) if factor * written_bytes(df if written is None else written) <= max_bytes else df
+    return F.broadcast(df) if fits(df if written is None else written, max_bytes, factor) else df
+
+
+def fits(written: DataFrame, max_bytes: int = BROADCAST_BYTES, factor: int = 6) -> bool:
+    """Whether a written frame is small enough to broadcast."""
+    return factor * written_bytes(written) <= max_bytes
 
 
 def batches(source: Iterable[pa.RecordBatch], rows: int = 2000, column: int = 1,

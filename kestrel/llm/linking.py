@@ -18,73 +18,86 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import bounded, materialise
+from kestrel.llm.common import bounded, fits, hinted, materialise
 
 #: Buckets up to this size are done in one round.
 SMALL = 9
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """(a, b) links -> (id, comp): ``comp`` is the least id of the component."""
+    """(a, b) links -> (id, comp): ``comp`` is the least id of the component.
+
+    Sides of joins are broadcast while the written edges are within the bound.
+    """
     ids = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges, before = materialise(ids.distinct(), "edges"), None
+    edges = materialise(ids.distinct(), "edges")
     while True:
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("comp")) \
-                .unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())
-        before = now
+        side = F.broadcast if fits(edges) else lambda df: df
+        # a forest of stars: no centre hangs on another node, no node on two
+        chained = edges.join(side(edges.select(F.col("b").alias("a"))), "a", "left_semi")
+        if chained.isEmpty() and edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            return materialise(edges.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(
+                edges.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct()), "comp")
         # large star: larger neighbours hang on the least neighbour
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(side(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         # small star: smaller neighbours and the node itself hang on the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .unionByName(small.select("a", F.col("m").alias("b"))).distinct()
-        edges = materialise(small, "edges")
+        hung = large.join(side(least), "a").select(F.explode(F.array(
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
+        edges = materialise(hung.select("e.a", "e.b").where("a <> b").distinct(), "edges")
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
-    """The (key, id) rows, each given once, of the keys with two ids or more."""
+    """The (key, id) rows, each given once, of the keys with two ids or more; ``n``: ids of the key."""
     rows = members.select("key", "id")
-    several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return rows.join(bounded(several, "shared-keys", factor=3), "key")
 
 
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(key, id) -> (id, comp) of the ids that have a link.
+    """Written (key, id, n) -> (id, comp) of the ids that have a link.
 
     ``verify`` takes pairs (a, b) with a < b and returns those that are linked.
+    Pivots are the members that meet most others over all buckets: of a group of
+    copies the one that most resemble.  Sides of joins that are written, or parts of
+    what is, are broadcast while they are within the bound.
     """
+    side = F.broadcast if fits(members) else lambda df: df
+    degrees = members.groupBy("id").agg(F.sum("n").alias("degree"))
+    members = materialise(members.join(side(degrees), "id"), "members")
     pivoted = pairs_done = links = comp = None
-    round_no = 0
+    pivots_of_large = 2
     while True:
-        rows = members.withColumn("comp", F.col("id")) if comp is None else \
-            members.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-            F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "comp")).alias("main"))
-        rows = materialise(rows.join(sizes.where("parts > 1").select("key", "n", F.col("main.comp").alias("main")), "key"), "open")
-        outside = rows.where("comp <> main")
-        if pivoted is not None:
-            outside = outside.join(pivoted, ["key", "id"], "left_anti")
-        most = max(SMALL, 2 << round_no)
-        ranked = outside.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("rank") <= most)
-        pivots = materialise(ranked.where(F.col("rank") <= F.when(F.col("n") <= SMALL, SMALL).otherwise(2 << round_no))
+        if comp is None:
+            rows = members.withColumn("comp", F.col("id"))
+            outside = rows
+        else:
+            rows = members.join(hinted(comp), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+            sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
+                F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "comp")).alias("main"))
+            split = bounded(sizes.where("parts > 1").select("key", F.col("main.comp").alias("main")), "open")
+            rows = materialise(rows.join(split, "key"), "open-rows")
+            outside = rows.where("comp <> main").join(hinted(pivoted), ["key", "id"], "left_anti")
+        best = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
+        ranked = outside.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= max(SMALL, pivots_of_large))
+        pivots = materialise(ranked.where(F.col("rank") <= F.when(F.col("n") <= SMALL, SMALL).otherwise(pivots_of_large))
                              .select("key", F.col("id").alias("pivot"), F.col("comp").alias("own")), "pivots")
         if pivots.isEmpty():
             return comp if comp is not None else members.select("id", F.col("id").alias("comp")).limit(0)
-        met = pivots.join(rows.select("key", "id", "comp"), "key").where("comp <> own")
+        met = rows.select("key", "id", "comp").join(hinted(pivots), "key").where("comp <> own")
         pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if pairs_done is not None:
-            pairs = pairs.join(pairs_done, ["a", "b"], "left_anti")
+            pairs = pairs.join(hinted(pairs_done), ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         good = materialise(verify(pairs).select("a", "b"), "links")
         more = pivots.select("key", F.col("pivot").alias("id"))
-        pivoted = more if pivoted is None else pivoted.unionByName(more)
-        pairs_done = pairs if pairs_done is None else pairs_done.unionByName(pairs)
+        pivoted = more if pivoted is None else materialise(pivoted.unionByName(more), "pivoted")
+        pairs_done = pairs if pairs_done is None else materialise(pairs_done.unionByName(pairs), "pairs-done")
         if not good.isEmpty():
-            links = good if links is None else links.unionByName(good)
+            links = good if links is None else materialise(links.unionByName(good), "links")
             comp = connected(links)
-        round_no += 1
+        elif comp is None:
+            comp = materialise(members.select("id", F.col("id").alias("comp")).limit(0), "comp")
+        pivots_of_large *= 4
