@@ -49,3 +49,65 @@ def shingles(words: list[bytes], width: int = 5) -> np.ndarray:
     for j in range(width):
         out += h[j:j + len(out)] * _MIX[j]
     return scrambled(out)
+
+
+# Hashes of all words of a batch at once: a word's hash is a polynomial in its bytes, a difference of
+# two running sums over the batch times the inverse power of its place (arithmetic modulo 2 ** 64).
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BLOCK = 1 << 20
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        _POWERS[base] = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(max(n, _BLOCK + 1), base, np.uint64)]))
+    return _POWERS[base]
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and the number of words of each text."""
+    parts = [t.lower().encode("utf-8", "replace") for t in texts]
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    data = (b" ".join(parts) + b" ").translate(_TO_SPACE)
+    found, owners, at = [], [], 0
+    while at < len(data):
+        to = min(len(data), at + _BLOCK)
+        cut = data.rfind(b" ", at, to) + 1
+        if cut <= at:  # a word longer than a block
+            cut = data.index(b" ", at) + 1
+        block = np.frombuffer(data, np.uint8, cut - at, at)
+        blank = block == 0x20
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        if not blank[0]:
+            edges = np.concatenate([[0], edges])
+        first, last = edges[::2], edges[1::2]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[block] * _powers(_BASE, len(block))[:len(block)], dtype=np.uint64)])
+        found.append(scrambled((sums[last] - sums[first[:len(last)]]) * _powers(_INVERSE, len(block))[first[:len(last)]]))
+        owners.append(np.searchsorted(ends, first[:len(last)] + at, "right"))
+        at = cut
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    return np.concatenate(found), np.bincount(np.concatenate(owners), minlength=len(texts)).astype(np.int64)
+
+
+def shingled(hashes: np.ndarray, counts: np.ndarray, width: int = 5) -> list[np.ndarray]:
+    """Per text the hashes of its runs of ``width`` words (of all its words, if it has fewer)."""
+    n = max(0, len(hashes) - width + 1)
+    runs = np.full(n, width, np.uint64)
+    for j in range(width):
+        runs += hashes[j:j + n] * _MIX[j]
+    runs, out, at = scrambled(runs), [], 0
+    for c in counts.tolist():
+        if c >= width:
+            out.append(runs[at:at + c - width + 1])
+        elif c:
+            short = np.full(1, c, np.uint64)
+            for j in range(c):
+                short += hashes[at + j:at + j + 1] * _MIX[j]
+            out.append(scrambled(short))
+        else:
+            out.append(runs[:0])
+        at += c
+    return out
