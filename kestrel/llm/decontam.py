@@ -5,9 +5,9 @@ the item's own score, so a passage that holds all its words scores 1 and one
 threshold serves every item.  Postings are in item order, cut into blocks with
 the greatest impact of each.  Training texts are queried passage by passage:
 windows of twice the longest item's words, half a window apart, so that each item
-fits whole into some window.  A passage whose terms' greatest impacts cannot reach the threshold
-needs no search (WAND's bound without a pivot, computed for a batch of windows at once);
-the others run block-max WAND.  Every item above the threshold is then verified by
+fits whole into some window.  A passage in which no block's greatest impacts add up to the
+threshold needs no search (block-max bounds, computed for a batch of windows at once); the
+others run block-max WAND.  Every item above the threshold is then verified by
 the shares of its question's and its answer's word n-grams that the passage holds.
 
 The index is cut into parts of at most ``PART_POSTINGS`` postings of items of like
@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import batches, materialise
 from kestrel.llm.sharding import running_sums
-from kestrel.llm.words import words_of
+from kestrel.llm.words import word_hashes, words_of
 
 K1, B = 1.2, 0.75
 #: Least normalised score; least share of the question's and of the answer's n-grams.
 SCORE, QUESTION, ANSWER, NGRAM = 0.6, 0.7, 0.7, 3
-BLOCK = 16
+BLOCK = 4
 PART_POSTINGS = 1_000_000
 HITS = "doc_id long, raw binary, item_id long, score double, question_share double, answer_share double"
 
@@ -73,6 +73,9 @@ class Part:
         self.span = int(items["length"].max())
         self.vocab: dict[bytes, int] = {}
         terms = [self.vocab.setdefault(bytes(t), len(self.vocab)) for t in rows["term"]]
+        hashes = word_hashes([t.decode() for t in self.vocab])[0]
+        self.by_hash = np.argsort(hashes)
+        self.hashes = hashes[self.by_hash]
         docs = rows["item"].map(number).to_numpy()
         order = np.lexsort((docs, terms))
         terms, docs, impacts = np.array(terms)[order], docs[order], rows["impact"].to_numpy()[order]
@@ -82,14 +85,41 @@ class Part:
         self.most = np.array([max(x) for x in self.impacts])
         self.block_last = [[d[min(i + BLOCK, len(d)) - 1] for i in range(0, len(d), BLOCK)] for d in self.docs]
         self.block_most = [[max(x[i:i + BLOCK]) for i in range(0, len(x), BLOCK)] for x in self.impacts]
+        # the same blocks by their place in item order, for many queries at once
+        self.blocks = -(-len(self.item_ids) // BLOCK)
+        key = np.unique(terms.astype(np.int64) * self.blocks + docs // BLOCK, return_index=True)
+        self.place_most = np.maximum.reduceat(impacts, key[1])
+        self.place = key[0] % self.blocks
+        self.place_start = np.searchsorted(key[0] // self.blocks, np.arange(len(self.vocab) + 1))
         self._sides: dict[int, tuple[set, set]] = {}
 
     def sides(self, item: int) -> tuple[set, set]:
         if item not in self._sides:
             q, a = split_item(self.texts[item])
-            self._sides[item] = (_ngrams(q, NGRAM), _ngrams(a, NGRAM))
+            self._sides[item] = tuple(_ngrams(word_hashes([b" ".join(x).decode()])[0].tolist(), NGRAM) for x in (q, a))
         return self._sides[item]
 
+    def terms_of(self, hashes: np.ndarray) -> np.ndarray:
+        """Term numbers of words by their hashes; -1: not indexed."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.by_hash[at], -1)
+
+    def reach(self, terms: np.ndarray, starts: np.ndarray, threshold: float) -> np.ndarray:
+        """Which queries (segments of distinct ``terms``) have a block of items whose greatest
+        impacts add up to the threshold."""
+        out = np.zeros(len(starts), bool)
+        n = (self.place_start[1:] - self.place_start[:-1])[terms]
+        query = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(terms))))
+        step = max(1, 4_000_000 // self.blocks)
+        for a in range(0, len(starts), step):
+            b = min(len(starts), a + step)
+            lo, hi = starts[a], starts[b] if b < len(starts) else len(terms)
+            m = n[lo:hi]
+            at = np.repeat(self.place_start[terms[lo:hi]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            bound = np.bincount(np.repeat(query[lo:hi] - a, m) * self.blocks + self.place[at], self.place_most[at], (b - a) * self.blocks)
+            out[a:b] = bound.reshape(b - a, self.blocks).max(1) >= threshold - 1e-9
+        return out
+
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: all (item, score) with score >= threshold for distinct ``terms``."""
         end = len(self.item_ids)
@@ -139,43 +169,46 @@ class Part:
         return found
 
 
-def windows_to_search(terms: np.ndarray, docs: np.ndarray, places: np.ndarray, stride: int, most: np.ndarray, threshold: float):
-    """(window of each entry, entries) of the windows whose distinct terms' greatest impacts reach the threshold.
+def windows_to_search(terms: np.ndarray, docs: np.ndarray, places: np.ndarray, part: Part, threshold: float):
+    """(text, window, distinct terms) of the windows that may hold an item: those in which the greatest
+    impacts of some block of items, summed over the window's terms, reach the threshold.
 
     ``terms`` are the indexed words of a batch, in order, ``docs`` their texts and ``places`` their
-    word numbers in these; window k of a text holds the words from k * stride up to (k + 2) * stride.
+    word numbers in these; window k of a text holds the words from k * span up to (k + 2) * span.
     """
-    n = len(terms)
-    first = places // stride
-    width = int(first.max()) + 2 if n else 1
+    n, size = len(terms), len(part.vocab)
+    if not n:
+        return
+    first = places // part.span
+    width = int(first.max()) + 2
     entry = np.concatenate([np.arange(n), np.flatnonzero(first > 0)])
     window = np.concatenate([first, first[first > 0] - 1]) + docs[entry].astype(np.int64) * width
-    distinct = np.unique(window * len(most) + terms[entry])
-    window, t = distinct // len(most), distinct % len(most)
+    distinct = np.unique(window * size + terms[entry])
+    window, t = distinct // size, distinct % size
     ids, starts = np.unique(window, return_index=True)
-    totals = np.add.reduceat(most[t], starts) if len(t) else np.zeros(0)
     ends = np.append(starts[1:], len(t))
-    return [(int(ids[k]) // width, int(ids[k]) % width, t[starts[k]:ends[k]].tolist()) for k in np.flatnonzero(totals >= threshold - 1e-9)]
+    for k in np.flatnonzero(part.reach(t, starts, threshold)):
+        yield int(ids[k]) // width, int(ids[k]) % width, t[starts[k]:ends[k]].tolist()
 
 
 def _search_texts(shared, score: float, question: float, answer: float):
     def search(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part: Part = shared.value
         stride = part.span
-        number = part.vocab.get
-        for batch in batches(source, 1000, chars=8 << 20):
-            texts = [words_of(t or "") for t in batch.column(1).to_pylist()]
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            terms = np.fromiter((number(w, -1) for x in texts for w in x), np.int32, int(sizes.sum()))
-            docs = np.repeat(np.arange(len(texts)), sizes)
-            places = np.arange(len(terms)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        for batch in batches(source, 1000, chars=4 << 20):
+            hashes, sizes = word_hashes([t or "" for t in batch.column(1).to_pylist()])
+            terms = part.terms_of(hashes)
+            starts = np.cumsum(sizes) - sizes
+            docs = np.repeat(np.arange(len(sizes)), sizes)
+            places = np.arange(len(terms)) - np.repeat(starts, sizes)
             known = terms >= 0
             best: dict[tuple[int, int], tuple] = {}
-            for doc, window, query in windows_to_search(terms[known], docs[known], places[known], stride, part.most, score):
+            for doc, window, query in windows_to_search(terms[known], docs[known], places[known], part, score):
                 hits = part.search(query, score)
                 if not hits:
                     continue
-                held = _ngrams_by_size(texts[doc][window * stride:(window + 2) * stride])
+                first, last = starts[doc] + window * stride, starts[doc] + min(sizes[doc], (window + 2) * stride)
+                held = _ngrams_by_size(hashes[first:last].tolist())
                 for item, s in hits:
                     q, a = (_share(side, held) for side in part.sides(item))
                     if q >= question and a >= answer:
