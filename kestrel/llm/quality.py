@@ -37,7 +37,7 @@ MIN_WORDS, MAX_REPEATED, WINDOW = 20, 30, 8
 MIN_GROUP, SUBSET = 200, 0.75
 #: A clean document is rejected with about this probability (normal statistics).
 ALPHA = 1e-9
-STEPS, SETTLED = 12, 1e-3
+STEPS, SETTLED = 6, 0.01
 #: Transformed statistics and the least standard deviation each is taken to have.
 VECTOR = {"v_word": 0.08, "v_symbol": 0.06, "v_dup": 0.12, "v_repeat": 0.12, "v_upper": 0.08, "v_punct": 0.06}
 DIM = len(VECTOR)
