@@ -5,9 +5,9 @@
 meet its members in other components, links join components, and the next pivots
 come from outside the bucket's largest component.  A bucket is done when all
 its members are in one component or every one outside the largest was a pivot; then every
-pair of it is verified, or connected by verified links already.  Small buckets
-are done in one round; a large group of copies in few, because what is connected
-meets no more; only members that resemble nothing in their bucket cost a
+pair of it is verified, or connected by verified links already.  Two or three
+members are done in one round; a large group of copies in few, because what is
+connected meets no more; only members that resemble nothing in their bucket cost a
 pass each.  Each verified pair is a row of a join, so no task holds a bucket.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import bounded, fits, hinted, materialise
 
-#: Buckets up to this size are done in one round.
-SMALL = 9
+#: Pivots of a bucket in the first round; a round has four times as many as the one before.
+PIVOTS = 2
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
     degrees = members.groupBy("id").agg(F.sum("n").alias("degree"))
     members = materialise(members.join(side(degrees), "id"), "members")
     pivoted = pairs_done = links = comp = None
-    pivots_of_large = 2
+    pivots_a_bucket = PIVOTS
     while True:
         if comp is None:
             rows = members.withColumn("comp", F.col("id"))
@@ -81,9 +81,8 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
             rows = materialise(rows.join(split, "key"), "open-rows")
             outside = rows.where("comp <> main").join(hinted(pivoted), ["key", "id"], "left_anti")
         best = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
-        ranked = outside.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= max(SMALL, pivots_of_large))
-        pivots = materialise(ranked.where(F.col("rank") <= F.when(F.col("n") <= SMALL, SMALL).otherwise(pivots_of_large))
-                             .select("key", F.col("id").alias("pivot"), F.col("comp").alias("own")), "pivots")
+        ranked = outside.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= pivots_a_bucket)
+        pivots = materialise(ranked.select("key", F.col("id").alias("pivot"), F.col("comp").alias("own")), "pivots")
         if pivots.isEmpty():
             return comp if comp is not None else members.select("id", F.col("id").alias("comp")).limit(0)
         met = rows.select("key", "id", "comp").join(hinted(pivots), "key").where("comp <> own")
@@ -100,4 +99,4 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
             comp = connected(links)
         elif comp is None:
             comp = materialise(members.select("id", F.col("id").alias("comp")).limit(0), "comp")
-        pivots_of_large *= 4
+        pivots_a_bucket *= 4
