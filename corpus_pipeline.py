@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import bounded, materialise
-from kestrel.llm.decontam import contaminated
+from kestrel.llm.decontam import EDITS, contaminated
 from kestrel.llm.minhash import near_duplicates
 from kestrel.llm.mixing import mix
 from kestrel.llm.quality import judge
@@ -58,7 +58,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold items of the benchmark go."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return _without(docs, contaminated(docs, items))
+    return _without(docs, contaminated(docs, items, edits=EDITS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

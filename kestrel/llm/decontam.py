@@ -9,6 +9,11 @@ fits whole into some window.  A passage in which no block's greatest impacts add
 threshold needs no search (block-max bounds, computed for a batch of windows at once); the
 others run block-max WAND.  Every item above the threshold is then verified by
 the shares of its question's and its answer's word n-grams that the passage holds.
+With ``edits``, so many words of a side may be other ones whatever its length (a
+replaced word takes ``NGRAM`` n-grams with it): the question, an answer that is marked as
+one, and the item as a whole each need their share, or all but the n-grams of that
+many words.  A last sentence or quarter that only stands for an answer is not asked for
+by itself, and a side too short to lose so many is judged by the whole.
 
 The index is cut into parts of at most ``PART_POSTINGS`` postings of items of like
 length; each part is collected and broadcast, whatever the number of items, and all
@@ -17,7 +22,8 @@ texts are searched part by part.
 Defined results
     null or empty text on either side: matches nothing; items with equal texts: each
     is reported; null ``doc_id`` or ``item_id``: reported as null; equal rows: one result row
-    each; an empty table gives no row; very long texts: all windows; other columns are not read.
+    each; an empty table gives no row; very long texts: all windows; items too short to lose a
+    word's n-grams: by the shares alone; other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +44,8 @@ from kestrel.llm.words import word_hashes, words_of
 K1, B = 1.2, 0.75
 #: Least normalised score; least share of the question's and of the answer's n-grams.
 SCORE, QUESTION, ANSWER, NGRAM = 0.6, 0.7, 0.7, 3
+#: Words of an item that the queries and the pipeline let be other ones.
+EDITS = 1
 BLOCK = 4
 PART_POSTINGS = 1_000_000
 HITS = "doc_id long, raw binary, item_id long, score double, question_share double, answer_share double"
@@ -46,7 +54,7 @@ HITS = "doc_id long, raw binary, item_id long, score double, question_share doub
 def split_item(text: str) -> tuple[list[bytes], list[bytes]]:
     """(question, answer): an explicit answer mark, else the last question mark, else the
     last sentence; a single sentence's answer is its last quarter of words."""
-    m = list(re.finditer(r"(?i)\banswer\s*:", text)) or list(re.finditer(r"\?\s", text)) or list(re.finditer(r"[.!]\s", text))
+    m = _marks(text) or list(re.finditer(r"[.!]\s", text))
     if m:
         question, answer = words_of(text[:m[-1].start()]), words_of(text[m[-1].end():])
         if question and answer:
@@ -56,6 +64,17 @@ def split_item(text: str) -> tuple[list[bytes], list[bytes]]:
     return words[:cut], words[cut:]
 
 
+def _marks(text: str) -> list[re.Match]:
+    """The marks after which an answer stands: answer marks, else question marks."""
+    return list(re.finditer(r"(?i)\banswer\s*:", text)) or list(re.finditer(r"\?\s", text))
+
+
+def has_answer(text: str) -> bool:
+    """Whether what ``split_item`` calls the answer is marked as one."""
+    m = _marks(text)
+    return bool(m and words_of(text[:m[-1].start()]) and words_of(text[m[-1].end():]))
+
+
 def _ngrams(words: list, n: int) -> set:
     n = min(n, len(words))
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if words else set()
@@ -91,12 +110,15 @@ class Part:
         self.place_most = np.maximum.reduceat(impacts, key[1])
         self.place = key[0] % self.blocks
         self.place_start = np.searchsorted(key[0] // self.blocks, np.arange(len(self.vocab) + 1))
-        self._sides: dict[int, tuple[set, set]] = {}
+        self._sides: dict[int, tuple[set, set, set, bool]] = {}
 
-    def sides(self, item: int) -> tuple[set, set]:
+    def sides(self, item: int) -> tuple[set, set, set, bool]:
+        """N-grams of the question, the answer and the whole item, and whether the answer is marked as one."""
         if item not in self._sides:
-            q, a = split_item(self.texts[item])
-            self._sides[item] = tuple(_ngrams(word_hashes([b" ".join(x).decode()])[0].tolist(), NGRAM) for x in (q, a))
+            text = self.texts[item]
+            q, a = split_item(text)
+            self._sides[item] = (*(_ngrams(word_hashes([b" ".join(x).decode()])[0].tolist(), NGRAM) for x in (q, a, words_of(text))),
+                                 has_answer(text))
         return self._sides[item]
 
     def terms_of(self, hashes: np.ndarray) -> np.ndarray:
@@ -191,7 +213,7 @@ def windows_to_search(terms: np.ndarray, docs: np.ndarray, places: np.ndarray, p
         yield int(ids[k]) // width, int(ids[k]) % width, t[starts[k]:ends[k]].tolist()
 
 
-def _search_texts(shared, score: float, question: float, answer: float):
+def _search_texts(shared, score: float, question: float, answer: float, edits: int):
     def search(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part: Part = shared.value
         stride = part.span
@@ -210,8 +232,15 @@ def _search_texts(shared, score: float, question: float, answer: float):
                 first, last = starts[doc] + window * stride, starts[doc] + min(sizes[doc], (window + 2) * stride)
                 held = _ngrams_by_size(hashes[first:last].tolist())
                 for item, s in hits:
-                    q, a = (_share(side, held) for side in part.sides(item))
-                    if q >= question and a >= answer:
+                    *sides, marked = part.sides(item)
+                    q, a, whole = (_share(side, held) for side in sides)
+                    lost = edits * NGRAM
+                    if lost and len(sides[2]) > lost:
+                        need = [_needed(side, share, lost) for side, share in zip(sides, (question, answer, question))]
+                        verified = q >= need[0] and (a >= need[1] or not marked) and whole >= need[2]
+                    else:
+                        verified = q >= question and a >= answer
+                    if verified:
                         best[doc, item] = max(best.get((doc, item), (0.0,)), (s, q, a))
             ids = batch.column(0).to_pylist()
             raw = batch.column(2).to_pylist()
@@ -233,6 +262,11 @@ def _share(side: set, held: dict[int, set]) -> float:
     return len(side & held[len(next(iter(side)))]) / len(side)
 
 
+def _needed(side: set, share: float, lost: int) -> float:
+    """Share of a side's n-grams that must be held if ``lost`` of them may be missing."""
+    return min(share, 1.0 - lost / len(side)) - 1e-9 if side else 0.0
+
+
 def _terms(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(source, 500, column=1):
         rows = []
@@ -267,7 +301,7 @@ def index_items(items: DataFrame, part_postings: int = PART_POSTINGS) -> tuple[D
 
 
 def contaminated(docs: DataFrame, items: DataFrame, score: float = SCORE, question: float = QUESTION, answer: float = ANSWER,
-                 part_postings: int = PART_POSTINGS) -> DataFrame:
+                 part_postings: int = PART_POSTINGS, edits: int = 0) -> DataFrame:
     """(doc_id, raw, item_id, score, question_share, answer_share): one row per leaked item in a
     document; ``raw`` is the MD5 of its text."""
     spark = docs.sparkSession
@@ -279,10 +313,11 @@ def contaminated(docs: DataFrame, items: DataFrame, score: float = SCORE, questi
         # a part's postings: at most PART_POSTINGS and one item's own
         here = F.col("part") == r.part
         shared = spark.sparkContext.broadcast(Part(postings.where(here).toPandas(), entries.where(here).toPandas()))
-        out = out.unionByName(texts.mapInArrow(_search_texts(shared, score, question, answer), HITS))
+        out = out.unionByName(texts.mapInArrow(_search_texts(shared, score, question, answer, edits), HITS))
     return out
 
 
 def op3_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = sf_dir.rstrip("/")
-    return contaminated(spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/benchmark.parquet")).drop("raw")
+    docs, items = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/benchmark.parquet")
+    return contaminated(docs, items, edits=EDITS).drop("raw")
