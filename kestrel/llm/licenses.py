@@ -3,19 +3,21 @@
 Texts and templates are normalised to words; a text's passage resembles a template if
 the Dice coefficient of their distinct word bigrams is at least ``THRESHOLD``.  That bounds
 sizes: a passage of n bigrams can only reach templates with n * T / (2 - T) to n * (2 - T) / T
-bigrams, so a text too short for a template never meets it, and a passage is as long as the
-template it is compared to.  A passage begins at a bigram of the template and
-needs enough of them; where that holds the coefficient is computed exactly.  The whole
+bigrams, so a text too short for a template never meets it.  A passage begins and ends at
+a bigram of the template (other ends only lower the coefficient) and may have any length up
+to the upper bound, plus the bigrams that the template itself repeats; for each beginning with enough
+bigrams of the template after it, the coefficients of all ends are computed exactly.  The whole
 text is compared too, under the same bounds.  Of passages that overlap the best stays.
 
 Defined results
     null, empty or one-word text: no licence; null ``doc_id``: reported as null; ties: the
-    earlier passage, then the earlier template; equal rows: each reported; an empty table
+    earlier passage, then the earlier template, of one beginning the length nearest to the template's; equal rows: each reported; an empty table
     gives no row; very long texts: every passage of theirs; other columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 from bisect import bisect
 from collections.abc import Iterator
 
@@ -96,10 +98,13 @@ FOUND = "doc_id long, license string, dice double, first_word int, n_words int,
 
 
 class Templates:
-    """Bigrams of all templates, and of each bigram the templates that hold it."""
+    """Bigrams of all templates, and of each bigram the templates that hold it.
 
-    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD):
-        self.threshold = threshold
+    ``every_length``: passages of all lengths within the bounds, else only as long as the template.
+    """
+
+    def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD, every_length: bool = False):
+        self.threshold, self.every_length = threshold, every_length
         self.names = [name for name, _ in templates]
         words = [words_of(text) for _, text in templates]
         if min(map(len, words)) < 2:
@@ -125,14 +130,24 @@ class Templates:
         for p, b in zip(at.tolist(), number.tolist()):
             for t in self.holders[b]:
                 places.setdefault(t, []).append(p)
-        found, n, distinct = [], len(h), None
+        found, n, distinct, passages = [], len(h), None, {}
         for t, own in places.items():
             least = self.sizes[t] * self.threshold / (2 - self.threshold)  # fewest bigrams of a passage, and shared ones
             if n < least or len(own) < least:
                 continue
             own, length = np.array(own), self.words[t] - 1
+            if self.every_length:
+                length += int(self.sizes[t] * (2 - self.threshold) / self.threshold + 1e-9) - self.sizes[t]
             inside = np.searchsorted(own, own + length) - np.arange(len(own))
-            for p in own[inside >= least].tolist():
+            starts = own[inside >= least].tolist()
+            if self.every_length and starts:
+                passages[t] = _Passages(h, own, self.sizes[t], self.words[t] - 1, length)
+                for p in starts:
+                    score, m = passages[t].best(p, n)
+                    if score >= self.threshold:
+                        found.append((score, p, m + 1, t, False))
+                starts = []
+            for p in starts:
                 score = self.dice(h[p:p + length], t)
                 if score >= self.threshold:
                     found.append((score, p, min(length, n - p) + 1, t, False))
@@ -145,14 +160,50 @@ class Templates:
         # the best first; a passage that overlaps a better one goes
         kept: list[tuple] = []
         starts: list[int] = []
-        for x in sorted(found, key=lambda x: (-x[0], x[4], x[1], x[3])):
+        queue = [((-x[0], x[4], x[1], x[3]), x) for x in found]
+        heapq.heapify(queue)
+        while queue:
+            _, x = heapq.heappop(queue)
             i = bisect(starts, x[1])
-            if (i == 0 or kept[i - 1][1] + kept[i - 1][2] <= x[1]) and (i == len(kept) or x[1] + x[2] <= starts[i]):
+            if i and kept[i - 1][1] + kept[i - 1][2] > x[1]:
+                continue
+            if i == len(kept) or x[1] + x[2] <= starts[i]:
                 kept.insert(i, x)
                 starts.insert(i, x[1])
+            elif not x[4] and x[3] in passages:
+                # the best passage from here that ends before the better one
+                score, m = passages[x[3]].best(x[1], starts[i] - 1)
+                if score >= self.threshold:
+                    heapq.heappush(queue, ((-score, False, x[1], x[3]), (score, x[1], m + 1, x[3], False)))
         return kept
 
 
+class _Passages:
+    """Coefficients of the passages of a text (bigrams ``h``) with a template that holds those at ``own``."""
+
+    def __init__(self, h: np.ndarray, own: np.ndarray, size: int, usual: int, longest: int):
+        order = np.argsort(h, kind="stable")
+        self.before = np.full(len(h), -1)  # where a place's bigram was last seen
+        again = h[order[1:]] == h[order[:-1]]
+        self.before[order[1:][again]] = order[:-1][again]
+        self.held = np.zeros(len(h), bool)
+        self.held[own] = True
+        self.size, self.usual, self.longest = size, usual, longest
+
+    def best(self, p: int, end: int) -> tuple[float, int]:
+        """(coefficient, bigrams) of the best passage from ``p`` that ends before bigram ``end``; (0, 0): none."""
+        end = min(end, p + self.longest)
+        if end <= p:
+            return 0.0, 0
+        held, new = self.held[p:end], self.before[p:end] < p
+        ends = np.flatnonzero(held)
+        if not len(ends):
+            return 0.0, 0
+        score = 2.0 * np.cumsum(held & new)[ends] / (np.cumsum(new)[ends] + self.size)
+        top = ends[score == score.max()] + 1
+        return float(score.max()), int(top[np.argmin(np.abs(top - self.usual))])
+
+
 def _scan(templates: Templates):
     def scan(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source, 1000, chars=8 << 20):
@@ -179,7 +230,7 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
 
     The templates are a fixed list (some kilobytes) that goes with the task.
     """
-    return doc_texts(docs).mapInArrow(_scan(Templates(templates, threshold)), FOUND)
+    return doc_texts(docs).mapInArrow(_scan(Templates(templates, threshold, every_length=True)), FOUND)
 
 
 def op8_dice_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
