@@ -1,7 +1,8 @@
 """Operator 2 - personal data by bootstrapped contextual extraction (SQL functions only).
 
 Base patterns give seeds: addresses of mail and network, card and phone numbers.
-Every identifier-like token (one with an '@' or digits) is an instance; the one and
+Every identifier-like token (one with an '@' or digits) is an instance, and so is every
+run of number groups with single blanks between them; the one and
 the two words before it are its lexical patterns.  The graph of patterns and
 instances is aggregated once and scored in rounds: a pattern's confidence for a kind is
 the mean score of the distinct instances seen in it, an instance's score is one
@@ -11,7 +12,8 @@ minus the product of its good patterns' doubts.  Instances that end above
 Defined results
     null text: like the empty text; null ``doc_id`` and equal rows: one row each; an empty
     table gives no row; very long texts: scanned whole (a context is looked for in the 120 characters
-    before a token); a token that touches a base span adds nothing; other columns are not read.
+    before a token); a token or run that touches a base span adds nothing; a found token within a found run
+    is part of it; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,11 +31,14 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = rf"(?<![^{WS}])[^{WS}@0-9]*+[@0-9][^{WS}]*+"
+#: Number groups with single blanks between them, none of which goes on as a word or as an address.
+_GROUP = rf"[0-9][0-9()-]*+(?![^{WS}A-Za-z0-9@]*+[A-Za-z0-9@])"
+RUN = rf"(?<![^{WS}])[(+]?{_GROUP}(?:\x20[(]?{_GROUP})++"
 CONTEXT = 120
 SEED = "struct<s:int,k:int,e:int,kind:string,v:string>"
 #: What an unseen identifier of a kind may look like, once punctuation around it is cut off.
 SHAPES = {"email": r"^[^@]+@[^@]+$", "ip": r"^[0-9]{1,3}(?:[.:,-][0-9]{1,3}){3}(?:[:/][0-9]{1,5})?$",
-          "card": r"^[0-9](?:-?[0-9]){11,18}$", "phone": r"^[(+]?[0-9](?:[().-]*[0-9]){6,14}$"}
+          "card": r"^[0-9](?:[\x20-]?[0-9]){11,18}$", "phone": r"^[(+]?[0-9](?:[().-]*+(?:\x20[(]?)?[0-9]){6,14}$"}
 EDGE = r"[\"'.,;:!?<>\[\]{}]"
 #: Seeds a pattern needs, confidence of a good pattern and a found instance, rounds of scoring.
 SUPPORT, CONFIDENCE, ROUNDS = 5, 0.8, 3
@@ -105,6 +110,19 @@ def tokens(df: DataFrame) -> DataFrame:
                     F.array(F.concat(F.lit("1 "), one), F.concat(F.lit("2 "), two, F.lit(" "), one)).alias("patterns"))
 
 
+def runs(df: DataFrame) -> DataFrame:
+    """(rid, s, e, value, kind, patterns) as ``tokens``: one row per run of number groups outside the base spans."""
+    r = df.select("rid", "base", F.explode("run").alias("r"))
+    r = r.where(~F.exists("base", lambda x: (x["s"] < F.col("r.e")) & (x["e"] > F.col("r.s"))))
+    core = F.regexp_replace(F.col("r.v"), r"[()-]++$", "")
+    r = r.where(_telling(core)).select("rid", F.col("r.s").alias("s"), core.alias("value"), F.transform(
+        _words(F.concat(F.lit("# # "), F.col("r.left"))), lambda w: F.when(F.regexp(w, F.lit("[0-9@]")), "#").otherwise(w)).alias("words"))
+    n = F.size("words")
+    one, two = F.get("words", n - 1), F.get("words", n - 2)
+    return r.select("rid", "s", (F.col("s") + F.char_length("value")).alias("e"), "value", F.lit(None).cast("string").alias("kind"),
+                    F.array(F.concat(F.lit("1 "), one), F.concat(F.lit("2 "), two, F.lit(" "), one)).alias("patterns"))
+
+
 def _telling(v: Column) -> Column:
     return F.contains(v, F.lit("@")) | (F.char_length(_digits(v)) >= 4)
 
@@ -140,9 +158,10 @@ def score(edges: DataFrame, support: int = SUPPORT, confidence: float = CONFIDEN
 def find_pii(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
     """Per row: doc_id, ``base`` and ``added`` spans (arrays of s, k, e, kind)."""
     based = add_matches(add_base(doc_texts(docs)), "token", TOKEN, left=CONTEXT)
+    based = add_matches(based, "run", RUN, left=CONTEXT)
     big = F.filter("token", lambda x: (F.size("seeds") > 0) | _telling(x["v"]))
-    rows = materialise(based.select("doc_id", "base", "seeds", big.alias("token"), F.monotonically_increasing_id().alias("rid")), "pii-rows")
-    some = materialise(tokens(rows.where(F.size("token") > 0)), "pii-tokens")
+    rows = materialise(based.select("doc_id", "base", "seeds", big.alias("token"), "run", F.monotonically_increasing_id().alias("rid")), "pii-rows")
+    some = materialise(tokens(rows.where(F.size("token") > 0)).unionByName(runs(rows.where(F.size("run") > 0))), "pii-tokens")
     edges = some.select(F.explode("patterns").alias("pattern"), "value", "kind").groupBy("pattern", "value") \
         .agg(F.min("kind").alias("kind"))
     hits = score(materialise(edges, "pii-edges"), support, confidence, rounds)
@@ -150,6 +169,8 @@ def find_pii(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFID
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("k").cast("int"))
     found = some.where("kind is null").join(bounded(one, "pii-hits"), "value").groupBy("rid").agg(F.collect_list(F.struct(
         "s", (F.col("k") - 1).cast("int").alias("k"), "e", name.alias("kind"))).cast(SPANS).alias("added"))
+    inside = lambda x, y: (y["s"] <= x["s"]) & (x["e"] <= y["e"]) & (y["e"] - y["s"] > x["e"] - x["s"])
+    found = found.withColumn("added", F.filter("added", lambda x: ~F.exists("added", lambda y: inside(x, y))))
     out = rows.select("rid", "doc_id", "base").join(bounded(found, "pii-added"), "rid", "left")
     return out.select("doc_id", "base", F.coalesce("added", F.array().cast(SPANS)).alias("added"))
 
