@@ -25,6 +25,3 @@ def spark(tmp_path_factory):
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(ckpt)
     yield s
-
-
-SF_SMALL = "/root/testdata/sf0.001"

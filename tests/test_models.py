@@ -5,7 +5,7 @@ from kestrel.operators import classify
 from kestrel.operators.features import RECIPES, prepare
 from kestrel.plans import derived as D
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 def test_text_model_learns_the_labels(spark):
     """Fitted on the labelled documents, the model separates them far better than the larger class."""

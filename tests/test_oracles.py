@@ -9,7 +9,7 @@ import pytest
 from kestrel.plans.registry import all_queries
 from kestrel.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 QUERIES = {n: q for n, q in all_queries().items() if q.oracle}
 

@@ -2,7 +2,7 @@
 
 from kestrel.plans.registry import all_queries
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 Q = all_queries()
 
