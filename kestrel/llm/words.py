@@ -9,6 +9,8 @@ import numpy as np
 _SEPARATORS = bytes(range(0x30)) + bytes(range(0x3A, 0x41)) + bytes(range(0x5B, 0x61)) + bytes(range(0x7B, 0x80))
 _TO_SPACE = bytes(0x20 if b in _SEPARATORS else b for b in range(256))
 _MIX = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Words between ASCII blanks, A-Z in lower case.
+BLANK_WORDS = bytes(0x20 if b in range(0x09, 0x0E) else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Entries of the word -> hash memo of one worker.
 MEMO_WORDS = 500_000
 
@@ -66,12 +68,9 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base]
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, in order, and the number of words of each text."""
-    parts = [t.lower().encode("utf-8", "replace") for t in texts]
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-    data = (b" ".join(parts) + b" ").translate(_TO_SPACE)
-    found, owners, at = [], [], 0
+def hashed_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of ``data``, which ends with the 0x20 that separates them, and where each begins and ends."""
+    found, firsts, lasts, at = [], [], [], 0
     while at < len(data):
         to = min(len(data), at + _BLOCK)
         cut = data.rfind(b" ", at, to) + 1
@@ -85,11 +84,26 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         first, last = edges[::2], edges[1::2]
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[block] * _powers(_BASE, len(block))[:len(block)], dtype=np.uint64)])
         found.append(scrambled((sums[last] - sums[first[:len(last)]]) * _powers(_INVERSE, len(block))[first[:len(last)]]))
-        owners.append(np.searchsorted(ends, first[:len(last)] + at, "right"))
+        firsts.append(first[:len(last)] + at)
+        lasts.append(last + at)
         at = cut
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    return np.concatenate(found), np.bincount(np.concatenate(owners), minlength=len(texts)).astype(np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(firsts), np.concatenate(lasts)
+
+
+def word_hashes(texts: list[str], table: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and the number of words of each text.
+
+    ``table`` maps the bytes of a text, separators to 0x20; by default words are in lower case between ASCII signs.
+    """
+    parts = [(t.lower() if table is None else t).encode("utf-8", "replace") for t in texts]
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    data = (b" ".join(parts) + b" ").translate(_TO_SPACE if table is None else table)
+    found, first, _ = hashed_spans(data)
+    if not len(found):
+        return found, np.zeros(len(texts), np.int64)
+    return found, np.bincount(np.searchsorted(ends, first, "right"), minlength=len(texts)).astype(np.int64)
 
 
 def shingled(hashes: np.ndarray, counts: np.ndarray, width: int = 5) -> list[np.ndarray]:
