@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import collocations, decontam, licenses, lines, minhash, mixing, ngram_join, pii, quality, secrets, sharding, wavelet
+from kestrel.llm import collocations, conversation_trie, decontam, licenses, lines, minhash, mixing, ngram_join, pii, quality, secrets, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_shards": wavelet.op1_wavelet_shards,
@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_dice_licenses": licenses.op8_dice_licenses,
     "op9_minimax_shards": sharding.op9_minimax_shards,
     "op10_icws_near_duplicates": minhash.op10_icws_near_duplicates,
+    "op11_euler_prefix_trie": conversation_trie.op11_euler_prefix_trie,
     "op12_phrase_automata": collocations.op12_phrase_automata,
     "op13_ngram_jaccard_join": ngram_join.op13_ngram_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_euler_prefix_trie": conversation_trie.OP11_SQL,
     "op12_phrase_automata": collocations.OP12_SQL,
 }
