@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.evaluate import mean_user_auc, user_auc
+from kestrel.operators.factors import top_products
 from kestrel.operators.joins import lookup_side
 from kestrel.operators.ranking import dense_index, top_k_per_key
 from kestrel.operators.sampling import k_folds, negative_samples
@@ -158,23 +159,24 @@ def grid_search(train: DataFrame, held_out: DataFrame, all_items: DataFrame,
     return out.orderBy(F.desc("mean_auc"), "rank", "lambda", "alpha")
 
 
-def recommend(rm: RecModel, users: DataFrame, k: int = 5) -> DataFrame:
-    """Top-k items for each requested user, one distributed job (L03, M13):
-    (user, rank, item, score).  Users unknown to the model yield no rows."""
-    if rm.users is None:
-        req = users.select(F.col("user").cast("int").alias("user"))
-    else:
-        req = users.select("user").join(rm.users, "user").select(F.col("_u").alias("user"))
-    recs = rm.model.recommendForUserSubset(req, k)
-    out = recs.select("user", F.posexplode("recommendations").alias("pos", "r"))
-    out = out.select("user", (F.col("pos") + 1).alias("rank"), F.col("r.item").alias("item"),
-                     F.col("r.rating").cast("double").alias("score"))
+def factor_tables(rm: RecModel) -> tuple[DataFrame, DataFrame]:
+    """The model's factors by the original ids: (user, features), (item, features)."""
+    users = rm.model.userFactors.select(F.col("id").alias("user"), "features")
+    items = rm.model.itemFactors.select(F.col("id").alias("item"), "features")
     if rm.users is None:
-        return out
-    back_u = rm.users.select(F.col("_u").alias("user"), F.col("user").alias("_orig_user"))
-    back_i = rm.items.select(F.col("_i").alias("item"), F.col("item").alias("_orig_item"))
-    out = out.join(back_u, "user").join(back_i, "item")
-    return out.select(F.col("_orig_user").alias("user"), "rank", F.col("_orig_item").alias("item"), "score")
+        return users, items
+    back = lambda side, factors, name, short: factors.withColumnRenamed(name, short).join(side, short).select(name, "features")
+    return back(rm.users, users, "user", "_u"), back(rm.items, items, "item", "_i")
+
+
+def recommend(rm: RecModel, users: DataFrame, k: int = 5) -> DataFrame:
+    """Top-k items for each requested user (L03, M13): (user, rank, item, score), equal scores by the smaller item.
+
+    An exact search that leaves out the items which cannot be among the best (``factors.top_products``).
+    Users unknown to the model yield no rows."""
+    known, items = factor_tables(rm)
+    wanted = known.join(users.select("user").distinct(), "user", "left_semi")
+    return top_products(wanted, items, k)[0]
 
 
 def format_recommendations(recs: DataFrame) -> DataFrame:
