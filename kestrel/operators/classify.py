@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalars import jvm_split_space
 from kestrel.operators.evaluate import micro_metrics
 from kestrel.operators.features import Recipe
+from kestrel.operators.segments import SegmentedModel, fit_segments
 from kestrel.session import cut_lineage
 from kestrel.sources.csv import write_csv
 
@@ -68,29 +69,13 @@ def _fit(kind: str, data: DataFrame, seed: int = 42, tol: float = 1e-4):
     return estimator(kind, seed, tol).fit(data.select("label", "features"))
 
 
-@dataclass
-class SegmentedModel:
-    """One model per segment value, routed by the segment column."""
-    column: str
-    models: dict
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        parts = []
-        values = sorted(self.models)
-        for v in values:
-            # the original routes value 0 to its model and everything else to the other
-            cond = (F.col(self.column) == v) if v == values[0] else (F.col(self.column) != values[0])
-            parts.append(self.models[v].transform(df.where(cond)))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-
 def fit_model(kind: str, data: DataFrame, segment: str | None = None, seed: int = 42, tol: float = 1e-4):
+    """One model, or with ``segment`` a logistic regression per value of that column, all fitted together."""
     if segment is None:
         return _fit(kind, data, seed, tol)
-    return SegmentedModel(segment, {v: _fit(kind, data.where(F.col(segment) == v), seed, tol) for v in (0.0, 1.0)})
+    if kind != "lr":
+        raise ValueError(f"only logistic regressions are fitted by segment, not {kind!r}")
+    return SegmentedModel(segment, fit_segments(data, segment))
 
 
 def validate(model, valid: DataFrame) -> DataFrame:
@@ -107,15 +92,14 @@ def score(model, test: DataFrame, id_col: str = "Id") -> DataFrame:
 def weights(spark: SparkSession, model, features: tuple[str, ...], name: str) -> DataFrame:
     """Model report (M19): (model, feature, weight) including the intercept;
     per segment for a segmented model.  Bounded by the feature count."""
+    if isinstance(model, SegmentedModel):
+        return model.report(features, name)
     rows = []
-    items = model.models.items() if isinstance(model, SegmentedModel) else [(None, model)]
-    for seg, m in items:
-        label = name if seg is None else f"{name}[{model.column}={seg}]"
-        if hasattr(m, "coefficients"):
-            rows += [(label, f, float(w)) for f, w in zip(features, m.coefficients.toArray())]
-            rows.append((label, "intercept", float(m.intercept)))
-        elif hasattr(m, "featureImportances"):
-            rows += [(label, f, float(w)) for f, w in zip(features, m.featureImportances.toArray())]
+    if hasattr(model, "coefficients"):
+        rows += [(name, f, float(w)) for f, w in zip(features, model.coefficients.toArray())]
+        rows.append((name, "intercept", float(model.intercept)))
+    elif hasattr(model, "featureImportances"):
+        rows += [(name, f, float(w)) for f, w in zip(features, model.featureImportances.toArray())]
     return spark.createDataFrame(rows, "model string, feature string, weight double")
 
 

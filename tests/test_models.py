@@ -52,7 +52,7 @@ def test_forest_seeded_is_repeatable(spark, passengers):
 def test_segmented_models_route_by_gender(spark, passengers):
     recipe = RECIPES["class_gender_family"]
     res = classify.run_classifier(prepare(passengers, recipe), recipe, "lr", segment="Gender")
-    assert set(res.model.models) == {0.0, 1.0}
+    assert {r.segment for r in res.model.table.collect()} == {0.0, 1.0}
     assert res.predictions.count() == passengers.where(F.col("part") == "test").count()
 
 
