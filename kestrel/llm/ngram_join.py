@@ -270,3 +270,25 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"))
+
+
+OP13_SQL = """
+with recursive texts as (
+  select row_number() over () as rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+grams as (
+  select distinct rid, g from (
+    select rid, array_to_string(list_slice(w, i, i + 2), ' ') as g from (select rid, w, unnest(range(1, len(w) - 1)) as i from texts where len(w) >= 3)
+    union all select rid, array_to_string(w, ' ') from texts where len(w) in (1, 2))),
+sizes as (select rid, count(*) as n from grams group by rid),
+shared as (select g from grams group by g having count(*) > 1),
+common as (select rid, g from grams semi join shared using (g)),
+pairs as (select a.rid as a, b.rid as b, count(*) as both from common a join common b on a.g = b.g and a.rid < b.rid group by all),
+links as (
+  select p.a, p.b from pairs p join sizes x on x.rid = p.a join sizes y on y.rid = p.b where 100 * p.both >= 90 * (x.n + y.n - p.both)),
+edges as (select a, b from links union all select b, a from links),
+reach(a, b) as (select a, b from edges union select r.a, e.b from reach r join edges e on e.a = r.b)
+select t.doc_id, coalesce(any_value(s.n), 0) as n_shingles, least(t.doc_id, min(o.doc_id)) as component_id
+from texts t left join sizes s on s.rid = t.rid left join reach r on r.a = t.rid left join texts o on o.rid = r.b group by t.rid, t.doc_id
+"""

@@ -27,4 +27,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op11_euler_prefix_trie": conversation_trie.OP11_SQL,
     "op12_phrase_automata": collocations.OP12_SQL,
+    "op13_ngram_jaccard_join": ngram_join.OP13_SQL,
 }
