@@ -90,6 +90,28 @@ select case when c_custkey % 3 = 0 then concat('{{"name": "', c_name, '"}}')
 from {customer}
 """
 
+#: JSON lines with 17 top-level fields and a nested one; some lack keys, a few are no JSON.
+TWEETS_RAW = """
+select case when o_orderkey % 97 = 3 then concat('{{"id": ', cast(o_orderkey as string), ', "text": "cut')
+            when o_orderkey % 97 = 5 then concat('## ', cast(o_orderkey as string))
+            else concat('{{"createdAt": "day ', cast(o_orderkey % 365 as string), '", "id": ', cast(o_orderkey as string),
+                        ', "text": "', c_name, ' says \\\\"', c_mktsegment, '\\\\"", "source": "web", "isTruncated": false, "inReplyToStatusId": -1, "inReplyToUserId": -1',
+                        ', "isFavorited": ', case when c_custkey % 2 = 0 then 'true' else 'false' end, ', "retweetCount": ', cast(o_orderkey % 50 as string),
+                        case when o_orderkey % 5 = 0 then '' else ', "isPossiblySensitive": false' end,
+                        ', "contributorsIDs": [], "userMentionEntities": ["@', c_mktsegment, '"], "urlEntities": [], "hashtagEntities": [], "mediaEntities": []',
+                        ', "currentUserRetweetId": -1, "user": {{"id": ', cast(c_custkey as string), ', "name": "', c_name, '", "lang": "en"',
+                        case when c_custkey % 3 = 0 then '' else concat(', "utcOffset": ', cast(c_nationkey as string)) end,
+                        ', "followersCount": ', cast(c_custkey % 1000 as string), ', "isVerified": false, "descriptionURLEntities": []}}}}') end as value
+from {orders} join {customer} on o_custkey = c_custkey
+"""
+
+#: Rating lines with malformed ones among them.
+PLAYS_DIRTY_RAW = """
+select concat(cast(o_custkey as string), ' ', cast(l_partkey as string), ' ', cast(cast(floor(l_quantity) as bigint) as string),
+              case when l_partkey % 31 = 0 then ' 9' when l_partkey % 37 = 0 then 'x' else '' end) as value
+from {orders} join {lineitem} on o_orderkey = l_orderkey
+"""
+
 MESSAGES = """
 select doc_id, text, cast(toxic as double) as label
 from {documents} join {labels} using (doc_id)
@@ -105,13 +127,29 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "bank_raw": (BANK_RAW, ("customer",)),
     "numeric_raw": (NUMERIC_RAW, ("customer",)),
     "friends_raw": (FRIENDS_RAW, ("customer",)),
+    "tweets_raw": (TWEETS_RAW, ("orders", "customer")),
+    "plays_dirty_raw": (PLAYS_DIRTY_RAW, ("orders", "lineitem")),
     "messages": (MESSAGES, ("documents", "labels")),
 }
 
 
 #: Views that stand for text files (one string column ``value``); the others are read as they are.
 _TEXT = {n for n in VIEWS if n.endswith("_raw") and n != "numeric_raw"}
-_FILES = 8
+#: Where an application's text views are, by (application, folder, view).
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def text_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The folder of a raw-text view, written by its first use in an application.
+
+    The writers are the input's own splits, so the number of files follows the size of the tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _WRITTEN:
+        text, tables = VIEWS[name]
+        df = spark.sql(text, **{t: load(spark, sf_dir, t) for t in tables})
+        _WRITTEN[key] = write_text(df, scratch_path(spark, f"fixture-{name}"))
+    return _WRITTEN[key]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,11 +159,10 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     folder and read back line by line, so that its parser scans files in
     parallel and its filters run on stored lines.
     """
+    if name in _TEXT:
+        return read_text(spark, text_path(spark, sf_dir, name))
     text, tables = VIEWS[name]
-    df = spark.sql(text, **{t: load(spark, sf_dir, t) for t in tables})
-    if name not in _TEXT:
-        return df
-    return read_text(spark, write_text(df.repartition(_FILES), scratch_path(spark, f"fixture-{name}")))
+    return spark.sql(text, **{t: load(spark, sf_dir, t) for t in tables})
 
 
 def view_sql(name: str) -> str:

@@ -35,5 +35,5 @@ def query(name: str, oracle: str | None, ops: str = ""):
 
 def all_queries() -> dict[str, Query]:
     # importing the modules registers their queries
-    from kestrel.plans import q_sources, q_relational, q_stats, q_sampling, q_models, q_model_checks, q_trees  # noqa: F401
+    from kestrel.plans import q_sources, q_relational, q_stats, q_sampling, q_models, q_model_checks, q_trees, q_ingest  # noqa: F401
     return dict(REGISTRY)

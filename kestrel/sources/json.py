@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Column that a line goes to which does not fit; no field of the data may have this name.
+_CORRUPT = "_corrupt_line"
+
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON lines.  Without a schema Spark infers one in an extra pass (all
@@ -40,3 +44,24 @@ def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
     on the column count, not on the data), so building it on the driver is
     bounded."""
     return spark.createDataFrame(schema_rows(df.schema), "path string, type string, nullable boolean")
+
+
+def read_json_lines(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects (line)) of JSON lines in ``value``, by a known schema, from one parse.
+
+    Absent keys are null at any depth.  A line that is no JSON object, or whose values do not fit the schema, is kept aside whole.
+    """
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    wanted = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = lines.select("value", F.from_json("value", wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("x"))
+    bad = F.col("x").isNull() | F.col(f"x.{_CORRUPT}").isNotNull()
+    return parsed.where(~bad).select(*[F.col("x")[f.name].alias(f.name) for f in schema.fields]), parsed.where(bad).select(F.col("value").alias("line"))
+
+
+def inferred_schema(lines: DataFrame) -> str:
+    """The merged schema of JSON lines as Spark's variant type describes it; lines that are no JSON do not count.
+
+    One aggregate over all lines: fields that only some lines have are found wherever they are.
+    """
+    found = lines.select(F.try_parse_json("value").alias("v")).agg(F.schema_of_variant_agg("v").alias("schema")).first()
+    return found.schema
