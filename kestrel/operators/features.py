@@ -104,10 +104,12 @@ def token_rows(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 def hashed_tf(df: DataFrame, num_features: int = 10_000, text_col: str = "text",
               id_col: str = "doc_id") -> DataFrame:
     """Term frequencies of space tokens hashed with the JVM string hash:
-    (id, idx, tf) for every non-zero slot (M01, C14)."""
-    tok = token_rows(df, text_col, id_col)
+    (id, idx, tf) for every non-zero slot (M01, C14).
+
+    Tokens are counted first, so that each is hashed once per text."""
+    tok = token_rows(df, text_col, id_col).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
     return (tok.groupBy(id_col, jvm_hash_index(F.col("token"), num_features).alias("idx"))
-            .agg(F.count(F.lit(1)).cast("double").alias("tf")))
+            .agg(F.sum("n").cast("double").alias("tf")))
 
 
 def char_tf(df: DataFrame, num_features: int = 10_000, text_col: str = "text",
