@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 from itertools import product
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -25,7 +26,7 @@ from kestrel.operators.factors import top_products
 from kestrel.operators.joins import lookup_side
 from kestrel.operators.ranking import dense_index, top_k_per_key
 from kestrel.operators.sampling import k_folds, negative_samples
-from kestrel.session import checkpoint_dir, cut_lineage
+from kestrel.session import checkpoint_dir, concurrently, cut_lineage
 
 Scorer = Callable[[DataFrame], DataFrame]  # (user, item) pairs -> (user, item, score)
 
@@ -124,38 +125,39 @@ def evaluate_auc(held_out: DataFrame, all_items: DataFrame, scorer: Scorer, seed
 
 
 def cross_validated_auc(ratings: DataFrame, all_items: DataFrame, k: int = 10, seed: int = 500,
-                        fit: Callable[[DataFrame], Scorer] | None = None) -> DataFrame:
+                        fit: Callable[[DataFrame], Scorer] | None = None, parallelism: int = 4) -> DataFrame:
     """k-fold cross-validated mean AUC (M15, X03, A17): (fold, mean_auc, users) rows.
 
-    ``fit`` turns a fold's training rows into a scorer, by default the ALS model."""
+    ``fit`` turns a fold's training rows into a scorer, by default the ALS model; ``parallelism`` folds run at a time."""
     fit = fit or (lambda train: als_scorer(fit_als(train)))
-    results = []
-    for i, (train, valid) in enumerate(k_folds(ratings, k, seed, ["user", "item", "cnt"])):
+
+    def fold(i: int, train: DataFrame, valid: DataFrame) -> DataFrame:
         auc = evaluate_auc(valid, all_items, fit(train), seed=seed + i)
-        results.append(auc.select(F.lit(i).alias("fold"), "mean_auc", "users"))
-    folds = results[0]
-    for r in results[1:]:
-        folds = folds.unionByName(r)
-    return folds
+        return cut_lineage(auc.select(F.lit(i).alias("fold"), "mean_auc", "users"))
+
+    all_items = cut_lineage(all_items)
+    folds = [partial(fold, i, *parts) for i, parts in enumerate(k_folds(ratings, k, seed, ["user", "item", "cnt"]))]
+    return reduce(DataFrame.unionByName, concurrently(ratings.sparkSession, folds, parallelism))
 
 
 def grid_search(train: DataFrame, held_out: DataFrame, all_items: DataFrame,
                 ranks: Sequence[int], regs: Sequence[float], alphas: Sequence[float],
-                max_iter: int = 10, seed: int = 7) -> DataFrame:
-    """AUC per (rank, lambda, alpha), best first.
+                max_iter: int = 10, seed: int = 7, parallelism: int = 4) -> DataFrame:
+    """(rank, lambda, alpha, mean_auc, users), best first.
 
-    All settings are judged on the same negatives, which are drawn once."""
+    All settings are fitted on one written set and judged on the same negatives, which are drawn once; ``parallelism`` settings run
+    at a time."""
+    train = cut_lineage(train)
     positives = cut_lineage(held_out.select("user", "item"))
     negatives = cut_lineage(negative_samples(positives, all_items, seed).select("user", "item"))
-    rows = []
-    for rank, reg, alpha in product(ranks, regs, alphas):
+
+    def setting(rank: int, reg: float, alpha: float) -> DataFrame:
         score = als_scorer(fit_als(train, rank, max_iter, reg, alpha))
         auc = mean_user_auc(score(positives), score(negatives))
-        rows.append(auc.select(F.lit(rank).alias("rank"), F.lit(float(reg)).alias("lambda"),
-                               F.lit(float(alpha)).alias("alpha"), "mean_auc"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+        return cut_lineage(auc.select(F.lit(rank).alias("rank"), F.lit(float(reg)).alias("lambda"),
+                                      F.lit(float(alpha)).alias("alpha"), "mean_auc", "users"))
+
+    out = reduce(DataFrame.unionByName, concurrently(train.sparkSession, [partial(setting, *x) for x in product(ranks, regs, alphas)], parallelism))
     return out.orderBy(F.desc("mean_auc"), "rank", "lambda", "alpha")
 
 

@@ -10,6 +10,9 @@ popularity scorer.
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators import classify
@@ -22,7 +25,7 @@ from kestrel.plans.q_relational import SQL_HEAVY, SQL_SPLIT, heaviest_user, rati
 from kestrel.plans.q_sampling import FOLD_SEED, FOLDS, SQL_CV
 from kestrel.plans.q_stats import _recipe_sql
 from kestrel.plans.registry import query
-from kestrel.session import cut_lineage, scratch_path
+from kestrel.session import concurrently, cut_lineage, scratch_path
 from kestrel.sources.tables import load
 
 LR_RECIPES = ("class_gender", "class_gender_sibsp", "class_gender_sibsp_parch_fare", "class_gender_fare",
@@ -36,10 +39,10 @@ RUNS = {  # name -> (recipe, estimator kind, segment column)
 }
 
 
-def _run(spark, sf, name, write: bool = True, refit: bool = True):
+def _run(spark, sf, name, write: bool = True, refit: bool = True, prepared=None):
     recipe_name, kind, segment = RUNS[name]
     recipe = RECIPES[recipe_name]
-    prepared = prepare(D.passengers(spark, sf), recipe)
+    prepared = prepare(D.passengers(spark, sf), recipe) if prepared is None else prepared
     out = scratch_path(spark, f"pred-{name}") if write else None
     return classify.run_classifier(prepared, recipe, kind, out, segment, refit=refit)
 
@@ -59,16 +62,15 @@ for _n, (_r, _k, _s) in RUNS.items():
 
 @query("classifier_validation", None, "E01 E02 M17 X01")
 def q_classifier_validation(spark, sf):
-    """Validation metrics of every model run that has a validation split."""
-    parts = []
-    for name in RUNS:
-        res = _run(spark, sf, name, write=False, refit=False)
-        if res.validation is not None:
-            parts.append(res.validation.select(F.lit(name).alias("run"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Validation metrics of every model run that has a validation split; each recipe is prepared once."""
+    passengers = cut_lineage(D.passengers(spark, sf))
+    judged = [n for n in RUNS if RECIPES[RUNS[n][0]].split]
+    recipes = {r: cut_lineage(prepare(passengers, RECIPES[r])) for r in {RUNS[n][0] for n in judged}}
+
+    def run(name):
+        return _run(spark, sf, name, write=False, refit=False, prepared=recipes[RUNS[name][0]]).validation.select(F.lit(name).alias("run"), "*")
+
+    return reduce(DataFrame.unionByName, concurrently(spark, [partial(run, n) for n in judged]))
 
 
 @query("model_weights", None, "M19")

@@ -5,7 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -68,3 +72,18 @@ def cut_lineage(df):
     checkpoint, survives executor loss) and return the re-read frame."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+Result = TypeVar("Result")
+
+
+def concurrently(spark: SparkSession, jobs: Sequence[Callable[[], Result]], parallelism: int = 4) -> list[Result]:
+    """Results of independent jobs in order, ``parallelism`` of them at a time.
+
+    Small jobs leave most of a cluster idle between their stages; large ones share it.  Each job must finish its own
+    Spark work, or only its planning runs here."""
+    run = inheritable_thread_target(spark)
+    if parallelism <= 1 or len(jobs) <= 1:
+        return [job() for job in jobs]
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        return pool.map(lambda job: job(), [run(job) for job in jobs], chunksize=1)
