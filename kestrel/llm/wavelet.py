@@ -26,6 +26,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,12 @@ class WordMemo(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.special = [t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        #: Letters of a word that a token stands for, if tokens are written as such (``_cuts`` notices where they are not).
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token.removesuffix("</w>"))
         self.reset()
 
     def reset(self):
@@ -74,7 +81,7 @@ class WordMemo(dict):
 
     def _add(self, ids_of_words: list[list[int]]):
         lens = np.fromiter(map(len, ids_of_words), np.int32, len(ids_of_words))
-        flat = np.fromiter((i for ids in ids_of_words for i in ids), np.uint32, int(lens.sum()))
+        flat = np.fromiter(chain.from_iterable(ids_of_words), np.uint32, int(lens.sum()))
         self.flat = _room(self.flat, self.n_flat + len(flat))
         self.starts, self.lens = _room(self.starts, self.n_words + len(lens)), _room(self.lens, self.n_words + len(lens))
         self.flat[self.n_flat:self.n_flat + len(flat)] = flat
@@ -86,29 +93,59 @@ class WordMemo(dict):
     def learn(self):
         """Encode the words met since the last call, many in one text."""
         words, self.new = self.new, []
-        stems: dict[str, list[int]] = {}
-        for w in words:
-            stems.setdefault(_stem(w)[0], [])
-        todo = [s for s in stems if s]
-        for at in range(0, len(todo), 2000):
-            part = todo[at:at + 2000]
-            enc = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, begins = enc.ids, [o[0] for o in enc.offsets]
-            cuts = np.searchsorted(begins, np.cumsum([0] + [len(s) + 1 for s in part])).tolist()
-            for k, s in enumerate(part):
-                stems[s] = ids[cuts[k]:cuts[k + 1]]
+        parted = list(map(_stem, words))
+        stems: dict[str, list[int]] = dict.fromkeys((stem for stem, _ in parted), [])
+        todo: tuple[list[str], list[str]] = ([], [])
+        for s in stems:
+            if s:
+                todo[s.isascii()].append(s)
+        for ascii_only, some in enumerate(todo):
+            for at in range(0, len(some), 2000):
+                part = some[at:at + 2000]
+                text, cuts = " ".join(part), None
+                if ascii_only:
+                    ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+                    cuts = self._cuts(ids, part)
+                if cuts is None:
+                    enc = self.tokenizer.encode(text, add_special_tokens=False)
+                    ids = enc.ids
+                    cuts = np.searchsorted([o[0] for o in enc.offsets], np.cumsum([0] + [len(s) + 1 for s in part])).tolist()
+                stems.update(zip(part, [ids[i:j] for i, j in zip(cuts, cuts[1:])]))
         marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids if m else [] for m in ("", ".", ",")}
-        self._add([stems[s] + marks[m] for s, m in map(_stem, words)])
+        self._add([stems[s] + marks[m] if m else stems[s] for s, m in parted])
+
+    def _cuts(self, ids: list[int], words: list[str]) -> list[int] | None:
+        """Where the words' ids begin, from the lengths of the tokens; None if these do not add up to the words."""
+        ends = np.cumsum(self.sizes[ids])
+        want = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        cuts = np.searchsorted(ends, want) + 1
+        if ends[-1] != want[-1] or not np.array_equal(ends[cuts - 1], want):
+            return None
+        return [0, *cuts.tolist()]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after the other, and the number of each text."""
+        """All ids of the texts one after the other, and the number of each text.
+
+        A special token counts only as it is written: texts that hold one in any case are encoded as they are."""
+        low = [_lowered(t) for t in texts]
+        raw = [i for i, t in enumerate(low) if any(s in t for s in self.special)]
+        if not raw:
+            return self._encode(low)
+        whole = {i: self.tokenizer.encode(texts[i], add_special_tokens=False).ids for i in raw}
+        ids, n = self._encode(["" if i in whole else t for i, t in enumerate(low)])
+        pieces = np.split(ids, np.cumsum(n)[:-1])
+        for i, own in whole.items():
+            pieces[i], n[i] = np.array(own, np.uint32), len(own)
+        return np.concatenate(pieces), n
+
+    def _encode(self, low: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.n_words > MEMO_WORDS:
             self.reset()
-        rows = [list(map(self.__getitem__, _lowered(t).split(" "))) for t in texts]
+        split = [t.split(" ") for t in low]
+        n = np.fromiter(map(len, split), np.int64, len(split))
+        words = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
         if self.new:
             self.learn()
-        n = np.fromiter(map(len, rows), np.int64, len(rows))
-        words = np.fromiter((w for r in rows for w in r), np.int64, int(n.sum()))
         lens = self.lens[words]
         ends = np.cumsum(lens, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0

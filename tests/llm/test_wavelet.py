@@ -11,7 +11,8 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, start long, file string"
 TEXTS = ["", None, " ", "The cat's, hat...  it's. don't,\n\nOK 3.14,15. x", "Ünïcode é́. ÀΣΣ, 漢字。 naïve", "a" * 50_000,
          "word " * 30_000, "<|endoftext|>. <|startoftext|>", "tab\there\x1cand\x0bthere.\r\n", "'s 'S. ,. .,", "é. ́, x.̸",
-         "A.̸ B,̧ c'd.", "q\"uote\"! \"1\""]
+         "A.̸ B,̧ c'd.", "q\"uote\"! \"1\"", "<|ENDOFTEXT|> <|EndOfText|>", "a <|endoftext|>\n<|StartOfText|> B.",
+         "</w> x</w> <|endoftext", "wörd word " * 3000, "\u212aelvin İstanbul ſ"]
 
 
 @pytest.mark.parametrize("n,top", [(1, 1), (5000, 49408), (1025, 3), (512, 70000), (0, 1)])
