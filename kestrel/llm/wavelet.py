@@ -59,7 +59,7 @@ class WordMemo(dict):
         self.tokenizer = tokenizer
         self.special = [t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()]
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-        #: Letters of a word that a token stands for, if tokens are written as such (``_cuts`` notices where they are not).
+        #: Bytes of a word that a token stands for, if it is written so (``_cuts`` notices where words are changed before).
         self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():
             self.sizes[i] = len(token.removesuffix("</w>"))
@@ -79,49 +79,70 @@ class WordMemo(dict):
         self[word] = at
         return at
 
-    def _add(self, ids_of_words: list[list[int]]):
-        lens = np.fromiter(map(len, ids_of_words), np.int32, len(ids_of_words))
-        flat = np.fromiter(chain.from_iterable(ids_of_words), np.uint32, int(lens.sum()))
+    def _add(self, flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+        """The next words: their ids are at ``starts`` of ``flat``, which is appended to the table."""
+        n = len(lens)
         self.flat = _room(self.flat, self.n_flat + len(flat))
-        self.starts, self.lens = _room(self.starts, self.n_words + len(lens)), _room(self.lens, self.n_words + len(lens))
+        self.starts, self.lens = _room(self.starts, self.n_words + n), _room(self.lens, self.n_words + n)
         self.flat[self.n_flat:self.n_flat + len(flat)] = flat
-        self.lens[self.n_words:self.n_words + len(lens)] = lens
-        self.starts[self.n_words:self.n_words + len(lens)] = self.n_flat + np.cumsum(lens) - lens
-        self.n_words += len(lens)
+        self.lens[self.n_words:self.n_words + n] = lens
+        self.starts[self.n_words:self.n_words + n] = self.n_flat + starts
+        self.n_words += n
         self.n_flat += len(flat)
 
     def learn(self):
         """Encode the words met since the last call, many in one text."""
         words, self.new = self.new, []
         parted = list(map(_stem, words))
-        stems: dict[str, list[int]] = dict.fromkeys((stem for stem, _ in parted), [])
-        todo: tuple[list[str], list[str]] = ([], [])
-        for s in stems:
-            if s:
-                todo[s.isascii()].append(s)
-        for ascii_only, some in enumerate(todo):
-            for at in range(0, len(some), 2000):
-                part = some[at:at + 2000]
-                text, cuts = " ".join(part), None
-                if ascii_only:
-                    ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-                    cuts = self._cuts(ids, part)
-                if cuts is None:
-                    enc = self.tokenizer.encode(text, add_special_tokens=False)
-                    ids = enc.ids
-                    cuts = np.searchsorted([o[0] for o in enc.offsets], np.cumsum([0] + [len(s) + 1 for s in part])).tolist()
-                stems.update(zip(part, [ids[i:j] for i, j in zip(cuts, cuts[1:])]))
-        marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids if m else [] for m in ("", ".", ",")}
-        self._add([stems[s] + marks[m] if m else stems[s] for s, m in parted])
-
-    def _cuts(self, ids: list[int], words: list[str]) -> list[int] | None:
+        number: dict[str, int] = {}
+        stem = np.fromiter((number.setdefault(s, len(number)) for s, _ in parted), np.int64, len(words))
+        stems = list(number)
+        starts, lens = np.zeros(len(stems), np.int64), np.zeros(len(stems), np.int64)
+        flats, at = [], 0
+        plain = np.fromiter(map(str.isascii, stems), bool, len(stems))
+        some = np.fromiter(map(len, stems), np.int64, len(stems)) > 0
+        for group in (np.flatnonzero(some & plain), np.flatnonzero(some & ~plain)):
+            for begin in range(0, len(group), 2000):
+                which = group[begin:begin + 2000]
+                ids, cuts = self._encoded([stems[i] for i in which.tolist()])
+                starts[which], lens[which] = at + cuts[:-1], np.diff(cuts)
+                flats.append(ids)
+                at += len(ids)
+        flat = np.concatenate([*flats, np.zeros(0, np.uint32)])
+        first, size = starts[stem], lens[stem]
+        for mark in (".", ","):  # the ids of the stem and of the mark, one after the other
+            own = np.flatnonzero(np.fromiter((m == mark for _, m in parted), bool, len(parted)))
+            if len(own):
+                end = np.array(self.tokenizer.encode(mark, add_special_tokens=False).ids, np.uint32)
+                n = size[own]
+                begins = np.cumsum(n + len(end)) - (n + len(end))
+                out = np.empty(int(n.sum()) + len(own) * len(end), np.uint32)
+                inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                out[np.repeat(begins, n) + inside] = flat[np.repeat(first[own], n) + inside]
+                out[(begins + n)[:, None] + np.arange(len(end))] = end
+                first[own], size[own] = len(flat) + begins, n + len(end)
+                flat = np.concatenate([flat, out])
+        self._add(flat, first, size)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, and where those of each begin and end."""
+        text = " ".join(words)
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        cuts = self._cuts(ids, words)
+        if cuts is not None:
+            return np.array(ids, np.uint32), cuts
+        enc = self.tokenizer.encode(text, add_special_tokens=False)
+        begins = [o[0] for o in enc.offsets]
+        return np.array(enc.ids, np.uint32), np.searchsorted(begins, np.cumsum([0] + [len(s) + 1 for s in words]))
+
+    def _cuts(self, ids: list[int], words: list[str]) -> np.ndarray | None:
         """Where the words' ids begin, from the lengths of the tokens; None if these do not add up to the words."""
         ends = np.cumsum(self.sizes[ids])
-        want = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        want = np.cumsum(np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in words), np.int64, len(words)))
         cuts = np.searchsorted(ends, want) + 1
         if ends[-1] != want[-1] or not np.array_equal(ends[cuts - 1], want):
             return None
-        return [0, *cuts.tolist()]
+        return np.concatenate([[0], cuts])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of each text.
