@@ -112,8 +112,13 @@ def tokens(df: DataFrame) -> DataFrame:
 
 def runs(df: DataFrame) -> DataFrame:
     """(rid, s, e, value, kind, patterns) as ``tokens``: one row per run of number groups outside the base spans."""
-    r = df.select("rid", "base", F.explode("run").alias("r"))
-    r = r.where(~F.exists("base", lambda x: (x["s"] < F.col("r.e")) & (x["e"] > F.col("r.s"))))
+    r = df.select("rid", F.explode("run").alias("r")).select(
+        "rid", F.col("r.e").alias("at"), F.lit(0).alias("second"), "r", F.lit(None).cast("int").alias("end"))
+    b = df.select("rid", F.explode("base").alias("b")).select(
+        "rid", F.col("b.s").alias("at"), F.lit(1).alias("second"), F.lit(None).cast(r.schema["r"].dataType).alias("r"), F.col("b.e").alias("end"))
+    # a base span overlaps if it begins before the run's end and ends after its beginning: one pass over the places of both
+    before = Window.partitionBy("rid").orderBy("at", "second").rowsBetween(Window.unboundedPreceding, -1)
+    r = r.unionByName(b).withColumn("until", F.max("end").over(before)).where(F.col("r").isNotNull() & (F.coalesce("until", F.lit(0)) <= F.col("r.s")))
     core = F.regexp_replace(F.col("r.v"), r"[()-]++$", "")
     r = r.where(_telling(core)).select("rid", F.col("r.s").alias("s"), core.alias("value"), F.transform(
         _words(F.concat(F.lit("# # "), F.col("r.left"))), lambda w: F.when(F.regexp(w, F.lit("[0-9@]")), "#").otherwise(w)).alias("words"))
@@ -167,10 +172,13 @@ def find_pii(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFID
     hits = score(materialise(edges, "pii-edges"), support, confidence, rounds)
     one = hits.groupBy("value").agg(F.min(F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))).alias("k"))
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("k").cast("int"))
-    found = some.where("kind is null").join(bounded(one, "pii-hits"), "value").groupBy("rid").agg(F.collect_list(F.struct(
-        "s", (F.col("k") - 1).cast("int").alias("k"), "e", name.alias("kind"))).cast(SPANS).alias("added"))
-    inside = lambda x, y: (y["s"] <= x["s"]) & (x["e"] <= y["e"]) & (y["e"] - y["s"] > x["e"] - x["s"])
-    found = found.withColumn("added", F.filter("added", lambda x: ~F.exists("added", lambda y: inside(x, y))))
+    places = some.where("kind is null").join(bounded(one, "pii-hits"), "value").groupBy("rid", "s", "e").agg(
+        F.collect_list(F.struct((F.col("k") - 1).cast("int").alias("k"), name.alias("kind"))).alias("kinds"))
+    # inside a longer span: one that begins no later, and of those with the same beginning is longer, ends no earlier
+    before = Window.partitionBy("rid").orderBy("s", F.desc("e")).rowsBetween(Window.unboundedPreceding, -1)
+    widest = places.withColumn("until", F.max("e").over(before)).where(F.col("until").isNull() | (F.col("until") < F.col("e")))
+    found = widest.select("rid", "s", "e", F.explode("kinds").alias("x")).groupBy("rid").agg(
+        F.collect_list(F.struct("s", "x.k", "e", "x.kind")).cast(SPANS).alias("added"))
     out = rows.select("rid", "doc_id", "base").join(bounded(found, "pii-added"), "rid", "left")
     return out.select("doc_id", "base", F.coalesce("added", F.array().cast(SPANS)).alias("added"))
 
