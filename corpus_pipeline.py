@@ -3,7 +3,8 @@
 Every stage takes the documents its predecessor kept and returns documents, the
 last one their places in shards.  A decision is about a text of a ``doc_id``:
 rows that share both are decided alike (quality keeps them if one of them is kept, near
-duplicates keep one).  Null values, empty tables and other columns: as the operators say.
+duplicates keep one).  Null values and empty tables: as the operators say.  Other columns are carried along whatever
+their names are: the stages' own columns take names that the documents do not use.
 """
 
 from __future__ import annotations
@@ -23,17 +24,30 @@ def _raw() -> Column:
     return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
 
 
-def _keys(decisions: DataFrame, *more: str) -> DataFrame:
-    return decisions.select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"), *more)
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of the documents is called so."""
+    taken = {c.lower() for c in docs.columns}
+    mark = "_"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
 
 
-def _is_key() -> Column:
-    return F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_raw() == F.col("_raw"))
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def _keys(docs: DataFrame, decisions: DataFrame, *more: Column) -> tuple[DataFrame, Column]:
+    """What was decided by (doc_id, raw), under names that the documents do not use, and the condition that it is about a document."""
+    doc, raw = _free(docs, "id", "raw")
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (_raw() == F.col(raw))
+    return decisions.select(F.col("doc_id").alias(doc), F.col("raw").alias(raw), *more), here
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The documents whose (doc_id, raw) is not in ``gone``: an anti join, against a broadcast if that is small."""
-    return docs.join(bounded(_keys(gone).distinct(), "gone"), _is_key(), "left_anti")
+    keys, here = _keys(docs, gone)
+    return docs.join(bounded(keys.distinct(), "gone"), here, "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +61,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = materialise(near_duplicates(docs), "near")
     rest = _without(docs, found.where("not keep"))
     again = found.where("keep").groupBy("doc_id", "raw").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = materialise(_keys(again), "repeated")
+    again, here = _keys(docs, again)
+    again = materialise(again, "repeated")
     if again.isEmpty():  # no row is given twice: the usual case costs no shuffle of texts
         return rest
-    once = rest.join(again, _is_key(), "left_semi").groupBy("doc_id", _raw().alias("_raw")).agg(
-        F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return rest.join(again, _is_key(), "left_anti").unionByName(once)
+    raw, row = _free(docs, "raw", "row")
+    once = rest.join(again, here, "left_semi").groupBy("doc_id", _raw().alias(raw)).agg(F.min(F.struct(*_columns(docs))).alias(row)).select(f"{row}.*")
+    return rest.join(again, here, "left_anti").unionByName(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +79,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it."""
     taken = mix(docs).groupBy("doc_id", "raw", "source").agg(F.max("copies").alias("copies"))
-    times = bounded(_keys(taken.where("copies > 0"), F.col("source").alias("_source"), F.col("copies").alias("_copies")), "copies")
-    joined = docs.join(times, _is_key() & F.col("source").eqNullSafe(F.col("_source")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    source, copies, copy = _free(docs, "source", "copies", "copy")
+    times, here = _keys(docs, taken.where("copies > 0"), F.col("source").alias(source), F.col("copies").alias(copies))
+    joined = docs.join(bounded(times, "copies"), here & F.col("source").eqNullSafe(F.col(source)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*_columns(docs))
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,3 +78,21 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.materialise(stage(spark, docs, SF), "empty")
         assert docs.count() == 0
+
+
+def test_columns_named_like_the_stages_own(spark):
+    """The stages' working columns never meet those of the documents, and long texts pass whole."""
+    names = ["_id", "_raw", "_source", "_copy", "_copies", "__id", "_row", "row", "doc", "raw", "a.b"]
+    texts = [" ".join(f"word{k}x{i}" for i in range(60)) for k in range(4)] + [" ".join(f"long{i}" for i in range(40000))]
+    rows = [(k, t, "en", "s", len(t), *[f"{n}{k}" for n in names]) for k, t in enumerate(texts)]
+    rows += [rows[0], (9, texts[1], "en", "s", 5, *["other"] * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialise(stage(spark, docs, SF), f"names-{name}")
+        assert out.columns == docs.columns
+        kept = {(r.doc_id, r.text) for r in out.collect()}
+        assert kept <= {(r[0], r[1]) for r in rows} and (4, texts[4]) in kept
+        if name == "near_dedup":
+            assert sorted(d for d, _ in kept) == [0, 1, 2, 3, 4] and out.count() == 5
+        docs = out
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
