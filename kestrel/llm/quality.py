@@ -37,7 +37,8 @@ MIN_WORDS, MAX_REPEATED, WINDOW = 20, 30, 8
 MIN_GROUP, SUBSET = 200, 0.75
 #: A clean document is rejected with about this probability (normal statistics).
 ALPHA = 1e-9
-STEPS, SETTLED = 6, 0.01
+#: A group is settled when a concentration step lowers the logarithm of its determinant by no more.
+SETTLED = 1e-3
 #: Transformed statistics and the least standard deviation each is taken to have.
 VECTOR = {"v_word": 0.08, "v_symbol": 0.06, "v_dup": 0.12, "v_repeat": 0.12, "v_upper": 0.08, "v_punct": 0.06}
 DIM = len(VECTOR)
@@ -193,14 +194,15 @@ def estimates(vectors: DataFrame, subset: float = SUBSET) -> DataFrame:
         F.array(*[1 / var[i] if i == j else F.lit(0.0) for i in range(DIM) for j in range(DIM)]).alias("inverse"),
         F.lit(float("inf")).alias("logdet")), "quality-fit")
     factor = subset / chi2_cdf(chi2_quantile(subset, DIM), DIM + 2)
-    for _ in range(STEPS):
-        nearest = _nearest(_distances(vectors, fit), subset)
-        new = _estimate(nearest, factor)
-        change = new.select("grp", "logdet").join(fit.select(F.col("grp").alias("_g"), F.col("logdet").alias("_old")),
-                                                  F.col("grp") == F.col("_g")).where(F.col("_old") - F.col("logdet") > SETTLED)
-        settled = change.isEmpty()
-        fit = new
-        if settled:
+    while True:  # determinants only fall, and the floors bound them from below
+        new = _estimate(_nearest(_distances(vectors, fit), subset), factor)
+        old = fit.select(F.col("grp").alias("_g"), *[F.col(c).alias(f"_{c}") for c in ("center", "inverse", "logdet")])
+        lower = F.col("_logdet") - F.col("logdet") > SETTLED
+        both = new.join(old, F.col("grp") == F.col("_g")).select(
+            "grp", lower.alias("lower"), *[F.when(lower, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in ("center", "inverse", "logdet")])
+        both = bounded(both, "quality-step")
+        fit = both.drop("lower")
+        if both.where("lower").isEmpty():
             break
     core = chi2_quantile(0.975, DIM)
     near = _distances(vectors, fit).where(F.col("d2") <= core)
