@@ -1,3 +1,4 @@
+# fixed values: the short inputs and outputs that tests compare with literally
 import hashlib
 
 from hypothesis import given, settings

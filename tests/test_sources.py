@@ -1,3 +1,4 @@
+# fixed values: the short inputs and outputs that tests compare with literally
 from kestrel.session import scratch_path
 from kestrel.sources import csv as csvsrc
 from kestrel.sources import json as jsonsrc
@@ -5,17 +6,17 @@ from kestrel.sources.text import read_text, write_text
 
 
 def test_json_golden_friends(spark):
-    raw = spark.createDataFrame([('{"name": "Holden"}',),
-                                 ('{"name": "Sparky The Bear", "lovePandas": true, "knows": {"friends": ["Holden"]}}',)],
+    raw = spark.createDataFrame([('{"name": "Alex"}',),
+                                 ('{"name": "Sparky The Bear", "lovePandas": true, "knows": {"friends": ["Alex"]}}',)],
                                 "value string")
     path = write_text(raw, scratch_path(spark, "t-friends"))
     df = jsonsrc.read_json(spark, path)
     assert df.schema.simpleString() == "struct<knows:struct<friends:array<string>>,lovePandas:boolean,name:string>"
     assert all(f.nullable for f in df.schema.fields)
     got = spark.sql("select * from {f} where lovePandas = true", f=df).collect()
-    assert [(list(r.knows.friends), r.lovePandas, r.name) for r in got] == [(["Holden"], True, "Sparky The Bear")]
+    assert [(list(r.knows.friends), r.lovePandas, r.name) for r in got] == [(["Alex"], True, "Sparky The Bear")]
     first = spark.sql("select get(knows.friends, 0) as f from {f} where lovePandas = true", f=df).collect()
-    assert [r.f for r in first] == ["Holden"]
+    assert [r.f for r in first] == ["Alex"]
     rep = {r.path: r.type for r in jsonsrc.schema_report(spark, df).collect()}
     assert rep["knows.friends"] == "array<string>"
 
