@@ -9,13 +9,16 @@ pair of it is verified, or connected by verified links already.  Two or three
 members are done in one round; a large group of copies in few, because what is
 connected meets no more; only members that resemble nothing in their bucket cost a
 pass each.  Each verified pair is a row of a join, so no task holds a bucket.
+``link_filtered`` goes by the same rounds, meets only those that a filter lets pass, and picks pivots by partial
+aggregates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import bounded, fits, hinted, materialise
@@ -100,3 +103,47 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
         elif comp is None:
             comp = materialise(members.select("id", F.col("id").alias("comp")).limit(0), "comp")
         pivots_a_bucket *= 4
+
+
+def link_filtered(members: DataFrame, carried: list[str], may_link: Column, verify: Callable[[DataFrame], DataFrame],
+                  links: DataFrame) -> DataFrame:
+    """Written (key, id, *carried) and links (a, b) known before -> all links found, those included.
+
+    A pivot meets the members of its bucket in other components for which ``may_link`` holds; it reads the member's
+    ``carried`` columns and the pivot's under ``pivot_`` and the same names.  Pivots come from outside the
+    bucket's largest component, those that meet most ids first, one of each of some hash groups of a bucket.  A bucket is done
+    when all its members outside its largest component were pivots: each of its pairs is then verified, ruled out or connected.
+    """
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rows = materialise(members.join(bounded(sizes, "bucket-sizes", factor=3), "key"), "buckets")
+    degrees = rows.groupBy("id").agg(F.sum("size").alias("degree"))
+    rows = materialise(rows.drop("size").join(hinted(degrees, rows), "id"), "buckets")
+    found, asked, pivoted, comp, pivots_a_bucket = [links], [], [], connected(links), PIVOTS
+    while True:
+        rows = rows.drop("comp").join(hinted(comp), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("rows")).groupBy("key").agg(
+            F.count(F.lit(1)).alias("parts"), F.max(F.struct("rows", "comp")).alias("main"))
+        split = bounded(parts.where("parts > 1").select("key", F.col("main.comp").alias("main")), "open-buckets")
+        rows = materialise(rows.join(split, "key"), "open-rows")
+        outside = rows.where("comp <> main")
+        rows = rows.drop("main")
+        if pivoted:
+            outside = outside.join(bounded(reduce(DataFrame.unionByName, pivoted), "pivoted"), ["key", "id"], "left_anti")
+        group = F.pmod(F.xxhash64("id"), F.lit(pivots_a_bucket))
+        best = outside.groupBy("key", group.alias("g")).agg(F.max(F.struct("degree", "id", "comp", *carried)).alias("x"))
+        pivots = materialise(best.select("key", F.col("x.id").alias("pivot"), F.col("x.comp").alias("own"),
+                                         *[F.col(f"x.{c}").alias(f"pivot_{c}") for c in carried]), "pivots")
+        if pivots.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        pivoted.append(pivots.select("key", F.col("pivot").alias("id")))
+        met = rows.join(hinted(pivots), "key").where((F.col("comp") != F.col("own")) & may_link)
+        pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+        if asked:
+            pairs = pairs.join(bounded(reduce(DataFrame.unionByName, asked), "asked"), ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
+        asked.append(pairs)
+        good = materialise(verify(pairs).select("a", "b"), "links")
+        if not good.isEmpty():
+            found.append(good)
+            comp = connected(reduce(DataFrame.unionByName, found))
+        pivots_a_bucket *= 4
