@@ -52,9 +52,9 @@ def connected(links: DataFrame) -> DataFrame:
         edges = materialise(hung.select("e.a", "e.b").where("a <> b").distinct(), "edges")
 
 
-def shared_buckets(members: DataFrame) -> DataFrame:
-    """The (key, id) rows, each given once, of the keys with two ids or more; ``n``: ids of the key."""
-    rows = members.select("key", "id")
+def shared_buckets(members: DataFrame, *carried: str) -> DataFrame:
+    """The (key, id, *carried) rows, each given once, of the keys with two ids or more; ``n``: ids of the key."""
+    rows = members.select("key", "id", *carried)
     several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return rows.join(bounded(several, "shared-keys", factor=3), "key")
 
