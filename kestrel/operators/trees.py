@@ -29,6 +29,20 @@ POISSON = [round(p, 9) for p in accumulate(exp(-1) / factorial(k) for k in range
 DIGITS = 9
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used and wherever Spark moves the expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _place(x: Column, ends: Sequence[float], reached: bool = False, first: int = 0) -> Column:
+    """How many of the rising ``ends`` are below ``x`` (``reached``: or equal to it), by halves; null for null unless there are no ends."""
+    if not ends:
+        return F.lit(first)
+    half = len(ends) // 2
+    over = x >= ends[half] if reached else x > ends[half]
+    return F.when(over, _place(x, ends[half + 1:], reached, first + half + 1)).when(~over, _place(x, ends[:half], reached, first))
+
+
 @dataclass(frozen=True)
 class Split:
     """Rows of a node go left if their bin is at most ``cut``, or of a categorical feature one of ``left``."""
@@ -55,16 +69,15 @@ class Forest:
     def binned(self, df: DataFrame) -> DataFrame:
         bins = {}
         for f in self.features:
-            over = [(F.round(F.col(f).cast("double"), 6) > c).cast("int") for c in self.cuts.get(f, [])]
-            bins[f"b_{f}"] = sum(over, F.lit(0)) if f in self.cuts else F.col(f).cast("int")
+            value = F.round(F.col(f).cast("double"), 6)
+            bins[f"b_{f}"] = _once(value, lambda x: _place(x, self.cuts[f])) if f in self.cuts else F.col(f).cast("int")
         return df.withColumns(bins)
 
     def weight(self, tree) -> Column:
         """How often a tree draws a row."""
         if not self.bagging:
             return F.lit(1)
-        u = hash_fraction(F.col(self.id_col), tree, self.seed)
-        return sum(((u >= p).cast("int") for p in POISSON), F.lit(0))
+        return _once(hash_fraction(F.col(self.id_col), tree, self.seed), lambda u: _place(u, POISSON, reached=True))
 
     def node(self, tree: int) -> Column:
         """The node of the tree that a binned row comes to."""
@@ -152,13 +165,15 @@ def grow_forest(df: DataFrame, id_col: str, features: Sequence[str], label: str,
     """A single tree by default: all rows once, all features."""
     cuts = {f: quantile_cuts(df, f, bins)[:-1] for f in features if f in continuous}
     forest = Forest(tuple(features), cuts, trees, bagging, seed, id_col)
-    rows = cut_lineage(forest.binned(df).select(id_col, F.col(label).cast("int").alias("y"), *[f"b_{f}" for f in features]))
-    drawn = rows.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)])))
-    drawn = drawn.withColumn("w", forest.weight(F.col("tree"))).where("w > 0")
+    bins_of = [f"b_{f}" for f in features]
+    rows = forest.binned(df).select(id_col, F.col(label).cast("int").alias("y"), *bins_of)
+    drawn = rows.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).withColumn("w", forest.weight(F.col("tree")))
+    # a tree knows of its rows no more than the bins and the label: rows alike in these are one row of their weight at all levels
+    cells = cut_lineage(drawn.groupBy("tree", "y", *bins_of).agg(F.sum("w").alias("w")).where("w > 0"))
     slots = ", ".join(f"'{f}', b_{f}" for f in features)
     for level in range(depth + 1):
         node = F.coalesce(*[F.when(F.col("tree") == t, forest.node(t)) for t in range(trees)])
-        open_rows = drawn.withColumn("node", node).where(F.col("node") >= 1 << level)
+        open_rows = cells.withColumn("node", node).where(F.col("node") >= 1 << level)
         counts = open_rows.selectExpr("tree", "node", "w", "y", f"stack({len(features)}, {slots}) as (feature, bin)") \
             .groupBy("tree", "node", "feature", "bin").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("n1"))
         stats: dict[tuple[int, int], dict[str, list]] = {}

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from kestrel.operators import classify
+from kestrel.operators import classify, trees
 from kestrel.operators.features import RECIPES, prepare
 from kestrel.operators.trees import Forest, best_split, grow_forest, quantile_cuts
 from kestrel.plans import derived as D
@@ -114,3 +114,22 @@ def test_pure_and_empty_data(spark):
     assert none.out_of_bag(pure.limit(0), "y").first().n == 0
     assert best_split({"c": [(0, 5, 5), (1, 5, 5)]}, ["c"], {}) is None
     assert Forest(("c",), {}, 1, False, 1, "Id").rows() == []
+
+
+def test_levels_read_cells_and_draws_hash_once(spark, monkeypatch):
+    """However many rows are alike in bins and label, a level reads one of them a tree; a draw computes its hash once."""
+    df = spark.range(3000).selectExpr("id as Id", "cast(id % 3 as int) as c", "cast(id % 5 as double) as x", "cast(id % 2 as int) as y")
+    written = []
+    keep = trees.cut_lineage
+    monkeypatch.setattr(trees, "cut_lineage", lambda d: written.append(keep(d)) or written[-1])
+    forest = grow_forest(df, "Id", ["c", "x"], "y", ["x"], trees=4, bagging=True, seed=3)
+    assert max(d.count() for d in written) <= 4 * 3 * 5 * 2 and sum(n for n in (r.w for r in written[-1].collect())) > 3000
+    plan = df.select(forest.weight(0).alias("w")).where("w > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") <= 2  # the condition and the column
+
+
+def test_places_of_nulls_ends_and_values(spark):
+    df = spark.createDataFrame([(None,), (0.5,), (1.0,), (2.5,), (9.0,)], "x double")
+    got = df.select(trees._place(F.col("x"), [1.0, 2.0, 3.0]).alias("a"), trees._place(F.col("x"), [1.0, 2.0, 3.0], reached=True).alias("b"),
+                    trees._place(F.col("x"), []).alias("c")).collect()
+    assert [tuple(r) for r in got] == [(None, None, 0), (0, 0, 0), (0, 1, 0), (2, 2, 0), (3, 3, 0)]
