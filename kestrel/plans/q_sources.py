@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -245,11 +246,11 @@ SQL_STRLEN = ("select doc_id, cast(length(text) + length(regexp_replace(text, '[
               " as int) as len from documents")
 
 
-@F.pandas_udf(T.IntegerType())
-def _str_len_udf(s: pd.Series) -> pd.Series:
-    # UTF-16 code units, as the JVM's String.length counts them
-    beyond = s.str.count("[\U00010000-\U0010FFFF]")
-    return (s.str.len() + beyond).astype("Int32")
+@F.arrow_udf(T.IntegerType())
+def _str_len_udf(s: pa.Array) -> pa.Array:
+    # UTF-16 code units, as the JVM's String.length counts them; texts stay in the Arrow buffer, none becomes a Python object
+    beyond = pc.count_substring_regex(s, "[\\x{10000}-\\x{10FFFF}]")
+    return pc.add(pc.utf8_length(s).cast(pa.int32()), beyond.cast(pa.int32()))
 
 
 @query("str_len_udf", SQL_STRLEN, "UDF02 C11")

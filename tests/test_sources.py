@@ -1,4 +1,7 @@
 # fixed values: the short inputs and outputs that tests compare with literally
+import pyarrow as pa
+
+from kestrel.plans.q_sources import _str_len_udf
 from kestrel.session import scratch_path
 from kestrel.sources import csv as csvsrc
 from kestrel.sources import json as jsonsrc
@@ -44,3 +47,9 @@ def test_scans_are_not_redistributed(spark):
     from kestrel.sources import tables
     plan = tables.load(spark, "/root/testdata/sf0.001", "customer")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_registered_length_works_on_arrow_buffers():
+    """No text becomes a Python object: the function takes and returns Arrow arrays."""
+    got = _str_len_udf.func(pa.array(["a\U0001F600b", "", None, "é\n"]))
+    assert got.type == pa.int32() and got.to_pylist() == [4, 0, None, 2]
