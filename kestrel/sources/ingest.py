@@ -97,7 +97,7 @@ def ingest(spark: SparkSession, path: str, rule: Rule | str) -> Ingested:
     row = F.when(F.col("reason").isNull(), F.struct(*[F.col(f"f_{n}").alias(n) for n in fields]))
     out = parsed.select("file", "block", "at", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("line"), row.alias("row"))
     where = scratch_path(spark, "ingest")
-    out.write.parquet(where)
+    out.write.option("compression", "zstd").parquet(where)  # a row a line: the most of what a load writes
     written = spark.read.schema(out.schema).parquet(where)
 
     splits = written.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))

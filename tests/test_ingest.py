@@ -81,3 +81,11 @@ def test_states_of_loads_merge_and_repeats_count_once(spark, tmp_path):
     assert {r.slot: r.n for r in store.merged(["b1"]).collect()} == {r.slot: r.n for r in na_stats(df.where("load = 1"), n_slots=2).collect()}
     with pytest.raises(ValueError):
         store.load("../up", df, F.lit(0))
+
+
+def test_lines_are_written_small(spark, tmp_path):
+    (tmp_path / "lines.txt").write_text("".join(f"{i} {i % 7} 3\n" for i in range(500)) + "x\n")
+    found = ingest(spark, str(tmp_path / "lines.txt"), "triples")
+    files = found.written.inputFiles()
+    assert files and all(".zstd." in f for f in files)
+    assert found.rows.count() == 500 and [(r.line_no, r.line) for r in found.rejects.collect()] == [(501, "x")]
