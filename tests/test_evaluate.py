@@ -87,3 +87,11 @@ def test_hot_user_counts_do_not_overflow(spark, monkeypatch):
     empty = spark.createDataFrame([], "user int, score double")
     r = evaluate.user_auc(empty, empty).select("auc", F.col("correct").cast("string")).first()
     assert r.auc == 1.0 and r.correct == str(big * big)
+
+
+def test_draws_are_read_from_columns(spark):
+    """Draws that later steps read several times lie in files of columns, not in checkpoints of whole rows."""
+    positives = spark.createDataFrame([(u, i) for u in range(4) for i in range(u, u + 3)], "user int, item int")
+    got = negative_samples(positives, spark.range(30).selectExpr("cast(id as int) as item"), 7)
+    assert got.inputFiles() and all(".parquet" in f for f in got.inputFiles())
+    assert {r.user: r["count"] for r in got.groupBy("user").count().collect()} == {u: 3 for u in range(4)}
