@@ -13,13 +13,13 @@ enough weight, so a text is a key only by the shingles before less than ``THRESH
 nobody else has counts for nothing.  A passage that thousands share comes last and is no key, unless the texts
 differ in little else.  Sizes and the weights left bound the overlap before a pair is made.
 
-Weights.  ``(1 + ln tf) * (1 + ln(min(N / df, 1 / HEAVY)))``: rarer than one in ten
-documents counts as rare, so that what a large group of copies shares does not lose weight
-against the edits of its members.  Just the shingles in at least that share of the documents need
-a count, and there are at most (mean shingles per document) / HEAVY of
-them, at any corpus size: a bounded broadcast.  They are counted exactly: a first pass
-keeps what is that frequent in some chunk of the documents (nothing else can be in all),
-a second pass counts these over all documents.
+Weights.  ``(1 + ln tf) * (1 + ln(N / df))`` with the document count of every shingle.  The few shingles
+in at least ``HEAVY`` of the documents, at most (mean shingles per document) / HEAVY of
+them at any corpus size, are counted exactly and broadcast: a first pass keeps what is that frequent in some
+chunk of the documents (nothing else can be in all), a second pass counts these over all documents.  All others are
+shuffled by their hash and counted there; the counts of two or more go back to the texts, which are spread over blocks of bounded
+size by a hash of the row, once for each block that holds the shingle.  What does not come back stands in one document.  A text's counts are kept
+with its signature, so that links are verified with the weights its hashes were drawn by.
 
 Defined results
     null text: like the empty text; a text without words is in no group (class of its own, by
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +52,12 @@ BANDS, ROWS = 12, 3
 FEW = 3
 #: Bits of a shingle's hash below its rarity class; what rounding may take from a bound.
 HASH_BITS, SLACK = 58, 1e-9
-#: Share of the documents from which a shingle's document count lowers its weight.
+#: Share of the documents from which a shingle's document count is broadcast, not shuffled.
 HEAVY = 0.1
+#: Characters of the texts of a block, and of those whose shingles a counting task holds (about a sixth as many).
+BLOCK_CHARS, BUCKET_CHARS = 8 << 20, 12 << 20
+#: Shingles that a task sorts before it hands them on.
+SORTED = 1 << 20
 #: Distinct shingles a task holds while it looks for frequent ones, and candidates counted in one pass.
 CHUNK, CANDIDATES = 3_000_000, 2_000_000
 BATCH_BYTES = 4 << 20
@@ -89,21 +94,69 @@ class Sampler:
 
 
 class Weights:
-    """Weight of a shingle that occurs ``tf`` times in a document."""
+    """Weights of shingles by how often they occur in a document and in how many of ``n_docs`` documents they occur.
 
-    def __init__(self, n_docs: int, heavy: dict[int, int], share: float = HEAVY):
+    ``heavy``: document counts of the most frequent ones."""
+
+    def __init__(self, n_docs: int, heavy: dict[int, int]):
         keys = sorted(heavy)
+        self.n_docs = n_docs
         self.keys = np.array(keys, np.uint64)
-        self.rare = 1 + math.log(max(1.0, min(n_docs, 1 / share)))
-        self.idf = np.array([1 + math.log(max(1.0, min(n_docs / heavy[k], 1 / share))) for k in keys])
+        self.heavy = np.array([heavy[k] for k in keys], np.int64)
+        self.rare = 1 + math.log(max(1, n_docs))
+
+    def light(self, h: np.ndarray) -> np.ndarray:
+        """Which shingles are not among the most frequent ones."""
+        return ~_found(self.keys, h)[0]
+
+    def counts(self, h: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Document counts, given those of two and more of the other shingles by their sorted ``keys``."""
+        df = np.ones(len(h), np.int64)
+        for known, n in ((keys, counts), (self.keys, self.heavy)):
+            hit, at = _found(known, h)
+            df[hit] = n[at[hit]]
+        return df
+
+    def __call__(self, tf: np.ndarray, df: np.ndarray) -> np.ndarray:
+        return (1 + np.log(tf)) * (1 + np.log(self.n_docs / df))
+
+
+def _found(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``h`` are among the sorted ``keys``, and where."""
+    if not len(keys):
+        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    return keys[at] == h, at
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers, all their first bytes, then all second ones and so on: what is zero in most compresses."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(parts: list[bytes]) -> list[np.ndarray]:
+    return [np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(8, -1).T).view(np.uint64).ravel() for p in parts]
+
+
+def _steps(h: np.ndarray) -> bytes:
+    """Rising numbers by their differences."""
+    return _planes(np.concatenate([h[:1], h[1:] - h[:-1]]))
 
-    def __call__(self, h: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        idf = np.full(len(h), self.rare)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            hit = self.keys[at] == h
-            idf[hit] = self.idf[at[hit]]
-        return (1 + np.log(tf)) * idf
+
+def _from_steps(parts: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64)] + [np.cumsum(x, dtype=np.uint64) for x in _from_planes(parts)])
+
+
+def _numbers(parts: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64)] + _from_planes(parts)).view(np.int64)
+
+
+def _packed(df: np.ndarray) -> bytes:
+    return zlib.compress(df.astype("<i8").tobytes(), 1)
+
+
+def _unpacked(df: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(df), "<i8")
 
 
 def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -116,11 +169,6 @@ def _distinct(h: np.ndarray) -> np.ndarray:
     return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], weights: Weights) -> float:
-    """Weighted Jaccard similarity of two vectors."""
-    return _jaccard(a[0], weights(*a), b[0], weights(*b))
-
-
 def _jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
     if not len(a) or not len(b):
         return 0.0
@@ -179,11 +227,72 @@ def frequent(texts: DataFrame, n_docs: int, share: float = HEAVY) -> dict[int, i
     return heavy
 
 
+SIGNED = pa.schema([("doc_id", pa.int64()), ("raw", pa.binary()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())),
+                    ("df", pa.binary())])
+
+
+def document_counts(texts: DataFrame, weights, buckets: int) -> DataFrame:
+    """(block, text) -> (block, h, df): per block, in pieces, which shingles of its texts are in two documents or more of all,
+    and in how many; those that ``weights`` knows are left out.  ``h`` and ``df`` are packed by ``_steps`` and ``_planes``."""
+
+    def spread(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, held, blocks, size = weights.value, [], [], 0
+
+        def pieces():
+            h, block = np.concatenate(held), np.concatenate(blocks)
+            order = np.argsort(h)
+            h, block = h[order], block[order]
+            bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            ends = np.append(at[1:], len(h))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[at].astype(np.int64)), pa.array([_steps(h[i:j]) for i, j in zip(at, ends)], pa.binary()),
+                 pa.array([_planes(block[i:j]) for i, j in zip(at, ends)], pa.binary())], ["bucket", "h", "block"])
+
+        for batch in batches(source, column=1, chars=BATCH_BYTES):
+            for b, h in zip(batch.column(0).to_pylist(), shingled(*word_hashes(batch.column(1).to_pylist()), WIDTH)):
+                h = _distinct(h)
+                h = h[w.light(h)]
+                held.append(h)
+                blocks.append(np.full(len(h), b, np.int64))
+                size += len(h)
+                if size >= SORTED:
+                    yield pieces()
+                    held, blocks, size = [], [], 0
+        if size:
+            yield pieces()
+
+    def counted(rows: pa.Table) -> pa.Table:
+        h, block = _from_steps(rows.column("h").to_pylist()), _numbers(rows.column("block").to_pylist())
+        order = np.argsort(h)
+        h, block = h[order], block[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        n = np.diff(np.append(first, len(h)))
+        df = np.repeat(n, n)
+        several = df > 1
+        h, block, df = h[several], block[several], df[several]
+        order = np.lexsort((h, block))
+        h, block, df = h[order], block[order], df[order]
+        once = np.concatenate([[True], (h[1:] != h[:-1]) | (block[1:] != block[:-1])]) if len(h) else several[:0]
+        h, block, df = h[once], block[once], df[once]
+        at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(h) else np.zeros(0, np.int64)
+        ends = np.append(at[1:], len(h))
+        return pa.table([pa.array(block[at]), pa.array([_steps(h[i:j]) for i, j in zip(at, ends)], pa.binary()),
+                         pa.array([_planes(df[i:j]) for i, j in zip(at, ends)], pa.binary())], ["block", "h", "df"])
+
+    pieces = texts.select("block", "text").mapInArrow(spread, "bucket long, h binary, block binary")
+    return pieces.groupBy("bucket").applyInArrow(counted, "block long, h binary, df binary")
+
+
 def _signed_docs(weights, bands: int, rows: int, seed: int):
-    def sign(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(docs: pa.Table, counts: pa.Table) -> pa.Table:
         sampler, w = Sampler(bands * rows, seed), weights.value
         band_mix = np.random.default_rng(seed + 1).integers(1, 1 << 62, (bands, rows), dtype=np.int64) * 2 + 1
-        for batch in batches(source, 400, column=2, chars=BATCH_BYTES):
+        known, n = _from_steps(counts.column("h").to_pylist()), _numbers(counts.column("df").to_pylist())
+        order = np.argsort(known)
+        known, n = known[order], n[order]
+        out = []
+        for batch in batches(docs.select(["doc_id", "raw", "text"]).to_batches(), 400, column=2, chars=BATCH_BYTES):
             hashes, counts = word_hashes(batch.column(2).to_pylist())
             ends = np.cumsum(counts).tolist()
             digests = [hashlib.blake2b(hashes[e - c:e].tobytes(), digest_size=16).digest() if c else None
@@ -192,17 +301,21 @@ def _signed_docs(weights, bands: int, rows: int, seed: int):
             sizes = np.array([len(v[0]) for v in vectors])
             some = np.flatnonzero(sizes)
             keys: list = [None] * len(vectors)
+            packed: list = [None] * len(vectors)
             if len(some):
                 h = np.concatenate([vectors[i][0] for i in some])
                 tf = np.concatenate([vectors[i][1] for i in some])
                 starts = np.cumsum(sizes[some]) - sizes[some]
-                picks = sampler.samples(h, w(h, tf), starts).reshape(len(some), bands, rows)
+                df = w.counts(h, known, n)
+                picks = sampler.samples(h, w(tf, df), starts).reshape(len(some), bands, rows)
                 band = (picks * band_mix).sum(2) + np.arange(bands)
                 for k, i in enumerate(some):
                     keys[i] = band[k].tolist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "raw", "digest", "bands"])
+                    packed[i] = _packed(df[starts[k]:starts[k] + sizes[i]])
+            out.append(pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(packed, pa.binary())], SIGNED.names))
+        return pa.Table.from_batches(out, SIGNED)
     return sign
 
 
@@ -213,7 +326,7 @@ def _weighed_docs(weights):
             vectors = [np.unique(h, return_counts=True) for h in shingled(*word_hashes(batch.column(1).to_pylist()), WIDTH)]
             sizes = np.fromiter((len(h) for h, _ in vectors), np.int64, len(vectors))
             h, tf = (np.concatenate([v[i] for v in vectors]) for i in (0, 1))
-            each = w(h, tf)
+            each = w(tf, np.concatenate([_unpacked(df) for df in batch.column(2).to_pylist()]))
             ends = np.cumsum(sizes)
             sums = np.concatenate([[0.0], np.cumsum(each)])
             rows = pa.StructArray.from_arrays([_signed(h), pa.array(each)], ["h", "w"])
@@ -254,39 +367,43 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("raw"), text.alias("text"))
-    n_docs = inputs.count()
-    weights = Weights(n_docs, frequent(inputs.select("text"), n_docs, heavy_share) if n_docs else {}, heavy_share)
+    n_docs, chars = inputs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    weights = Weights(n_docs, frequent(inputs.select("text"), n_docs, heavy_share) if n_docs else {})
     shared = spark.sparkContext.broadcast(weights)
-    signed = materialise(inputs.mapInArrow(_signed_docs(shared, bands, rows, seed),
-                                           "doc_id long, raw binary, digest binary, bands array<long>"), "signatures")
+    spread = inputs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-chars // BLOCK_CHARS) or 1)))
+    counts = document_counts(spread, shared, -(-chars // BUCKET_CHARS) or 1)
+    signed = materialise(spread.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
+        _signed_docs(shared, bands, rows, seed), "doc_id long, raw binary, digest binary, bands array<long>, df binary"), "signatures")
     texts = signed.where("digest is not null").groupBy("digest").agg(F.min(F.struct("raw", "bands")).alias("x"))
     members = materialise(shared_buckets(texts.select(F.explode("x.bands").alias("key"), F.col("digest").alias("id"))), "buckets")
     wanted = members.groupBy("id").agg(F.max("n").alias("n")).join(texts.select(F.col("digest").alias("id"), F.col("x.raw").alias("raw")), "id")
-    found = inputs.select("raw", "text").join(bounded(wanted, "wanted"), "raw")
-    candidates = materialise(found.groupBy("id").agg(F.first("text").alias("text"), F.first("n").alias("n")), "candidates")
+    wanted = bounded(wanted, "wanted")
+    found = inputs.select("raw", "text").join(wanted, "raw").groupBy("id").agg(F.first("text").alias("text"), F.first("n").alias("n"))
+    counted = signed.select("raw", "df").join(wanted, "raw").groupBy("id").agg(F.first("df").alias("df"))
+    candidates = materialise(found.join(counted, "id"), "candidates")
 
     def score(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         known: dict = {}
 
-        def weighed(key, text):
+        def weighed(key, text, df):
             if key not in known:
                 if len(known) >= 500:
                     known.clear()
                 h, tf = vector(text)
-                known[key] = h, w(h, tf)
+                known[key] = h, w(tf, _unpacked(df))
             return known[key]
 
         for batch in batches(source, 200, column=2):
-            keep = [_jaccard(*weighed(a, x), *weighed(b, y)) >= threshold
-                    for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)))]
+            keep = [_jaccard(*weighed(a, x, m), *weighed(b, y, n)) >= threshold
+                    for a, b, x, y, m, n in zip(*(batch.column(i).to_pylist() for i in range(6)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        first = candidates.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        second = candidates.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+        first = candidates.select(F.col("id").alias("a"), F.col("text").alias("text_a"), F.col("df").alias("df_a"))
+        second = candidates.select(F.col("id").alias("b"), F.col("text").alias("text_b"), F.col("df").alias("df_b"))
         # few pairs meet the texts of many documents: the pairs go to the texts
-        return second.join(first.join(hinted(pairs), "a"), "b").select("a", "b", "text_a", "text_b").mapInArrow(score, "a binary, b binary")
+        return second.join(first.join(hinted(pairs), "a"), "b").select("a", "b", "text_a", "text_b", "df_a", "df_b").mapInArrow(score, "a binary, b binary")
 
     small = members.where(F.col("n") <= FEW).groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"))  # up to FEW
     both = small.select(F.explode(F.array(F.struct(F.element_at("ids", 1).alias("a"), F.element_at("ids", 2).alias("b")),
@@ -294,7 +411,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
                                           F.struct(F.element_at("ids", -2).alias("a"), F.element_at("ids", -1).alias("b")))).alias("p"))
     links = materialise(verify(materialise(both.select("p.*").distinct(), "pairs")), "links")
 
-    crowded = candidates.where(F.col("n") > FEW).select("id", "text")
+    crowded = candidates.where(F.col("n") > FEW).select("id", "text", "df")
     grams = materialise(crowded.mapInArrow(_weighed_docs(shared), "id binary, total double, grams array<struct<h:long,w:double>>"), "grams")
     total, rest = F.col("total"), F.col("rest")
     overlap = (total + F.col("pivot_total")) * (threshold / (1 + threshold) * (1 - SLACK))

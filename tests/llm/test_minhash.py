@@ -25,7 +25,7 @@ def classes(docs, threshold=0.8):
     n = len(docs)
     sets = [grams(t) for _, t in docs]
     df = Counter(g for s in sets for g in s)
-    idf = lambda g: 1 + math.log(max(1.0, min(n / df[g], 10 if df[g] >= 0.1 * n else min(n, 10))))
+    idf = lambda g: 1 + math.log(n / df[g])
     weigh = [{g: (1 + math.log(c)) * idf(g) for g, c in s.items()} for s in sets]
     parent = list(range(n))
 
@@ -109,7 +109,7 @@ def test_agreement_estimates_weighted_jaccard():
     full_a, full_b = np.append(wa, np.zeros(40)), np.append(np.zeros(40), wb)
     want = np.minimum(full_a, full_b).sum() / np.maximum(full_a, full_b).sum()
     assert (one[0] == one[1]).mean() == pytest.approx(want, abs=0.05)
-    assert Weights(100, {}).rare == pytest.approx(1 + math.log(10))
+    assert Weights(100, {}).rare == pytest.approx(1 + math.log(100))
 
 
 def test_query_groups_all_near_copies(spark):
@@ -191,3 +191,32 @@ def test_filtered_links_equal_all_pairs_and_keep_those_known(spark):
         return {frozenset(m for m in place if top(m) == top(n)) for n in place}
 
     assert parts(links) == parts(want)
+
+
+def test_counts_of_every_shingle_reach_its_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(3, 30))) for _ in range(200)] + ["", "one of its own kind here"]
+    df_of = Counter(int(h) for t in texts for h in vector(t)[0])
+    heavy = {h: n for h, n in df_of.items() if n >= 12}
+    assert heavy and any(1 < n < 12 for n in df_of.values())
+    monkeypatch.setattr(minhash, "SORTED", 100)
+    rows = [(i % 7, t) for i, t in enumerate(texts)]
+    shared = spark.sparkContext.broadcast(Weights(len(texts), heavy))
+    got = {}
+    for r in minhash.document_counts(spark.createDataFrame(rows, "block long, text string").repartition(5), shared, 3).collect():
+        for h, n in zip(minhash._from_steps([r.h]).tolist(), minhash._numbers([r.df]).tolist()):
+            assert (r.block, h) not in got
+            got[r.block, h] = n
+    assert got == {(b, int(h)): df_of[int(h)] for b, t in rows for h in vector(t)[0] if 1 < df_of[int(h)] < 12}
+
+
+def test_a_passage_of_few_documents_weighs_less_than_rare_words(spark, monkeypatch):
+    # the passage stands in one of 25 documents: by its document counts a pair has 0.75, without them 0.82
+    monkeypatch.setattr(minhash, "BLOCK_CHARS", 2000)
+    passage = " ".join(f"p{i}" for i in range(75))
+    docs = [passage + f" x{k}a x{k}b x{k}c x{k}d x{k}e x{k}f x{k}g x{k}h" for k in range(8)]
+    docs += [" ".join(f"o{i}w{k}" for k in range(30)) for i in range(192)]
+    docs = list(enumerate(docs))
+    rows = near_duplicates(spark.createDataFrame([(*d, "x", 1, "y") for d in docs], SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in rows} == {i: i for i, _ in docs}
+    assert len(classes(docs)) == len(docs)
