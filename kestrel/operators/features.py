@@ -10,13 +10,17 @@ reproducible hash split on the passenger id.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kestrel.functions.hashing import jvm_hash_index
 from kestrel.functions.scalars import blank_to_null_double, category_offset, gender_code, jvm_split_space
+from kestrel.llm.common import batches
 from kestrel.operators.impute import impute_group_mean
 from kestrel.operators.sampling import split_column
 
@@ -101,15 +105,48 @@ def token_rows(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     return df.select(id_col, F.explode(jvm_split_space(text_col)).alias("token"))
 
 
+def _token_counts(num_features: int):
+    powers = {b: np.ones(1, np.uint32) for b in (31, pow(31, -1, 1 << 32))}
+
+    def power(base: int, n: int) -> np.ndarray:
+        if len(powers[base]) < n:
+            powers[base] = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint32), np.full(n, base, np.uint32)]), dtype=np.uint32)
+        return powers[base][:n]
+
+    def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source, 2000, column=1, chars=2 << 20):
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            cut = [None if t is None else t.rstrip(b" ") for t in texts]
+            rows = [i for i, (t, c) in enumerate(zip(texts, cut)) if c or t == b""]  # only blanks: no token
+            if not rows:
+                continue
+            # every token, the empty ones too, ends with one blank; h = sum(c_i * 31^(last-i)) is a difference of running sums
+            parts = [(cut[i] + b" ").decode("utf-8", "replace").encode("utf-16-le") for i in rows]
+            units = np.frombuffer(b"".join(parts), np.uint16).astype(np.uint32)
+            ends = np.flatnonzero(units == 32)
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            n = len(units)
+            sums = np.concatenate([np.zeros(1, np.uint32), np.cumsum(units * power(pow(31, -1, 1 << 32), n), dtype=np.uint32)])
+            h = (sums[ends] - sums[starts]) * power(31, n)[np.maximum(ends - 1, 0)]
+            idx = h.view(np.int32).astype(np.int64) % num_features
+            owner = np.searchsorted(np.cumsum([len(p) // 2 for p in parts]), ends, "right")
+            keys, tf = np.unique(owner * num_features + idx, return_counts=True)
+            ids = batch.column(0).take(pa.array(np.array(rows)[keys // num_features]))
+            yield pa.RecordBatch.from_arrays([ids, pa.array((keys % num_features).astype(np.int32)), pa.array(tf)], ["id", "idx", "n"])
+    return count
+
+
 def hashed_tf(df: DataFrame, num_features: int = 10_000, text_col: str = "text",
               id_col: str = "doc_id") -> DataFrame:
-    """Term frequencies of space tokens hashed with the JVM string hash:
-    (id, idx, tf) for every non-zero slot (M01, C14).
-
-    Tokens are counted first, so that each is hashed once per text."""
-    tok = token_rows(df, text_col, id_col).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
-    return (tok.groupBy(id_col, jvm_hash_index(F.col("token"), num_features).alias("idx"))
-            .agg(F.sum("n").cast("double").alias("tf")))
+    """Term frequencies of space tokens (``jvm_split_space``) hashed with the JVM string hash
+    (``jvm_hash_index``): (id, idx, tf) for every non-zero slot (M01, C14).
+
+    The tokens of a batch of texts are hashed and counted by array operations, so that one row per
+    text and slot is shuffled; texts of the same id are summed."""
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("idx", T.IntegerType()),
+                           T.StructField("n", T.LongType())])
+    slots = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(_token_counts(num_features), schema)
+    return slots.groupBy(F.col("id").alias(id_col), "idx").agg(F.sum("n").cast("double").alias("tf"))
 
 
 def char_tf(df: DataFrame, num_features: int = 10_000, text_col: str = "text",
