@@ -39,9 +39,14 @@ def split_first_tab(x) -> tuple[Column, Column]:
 
 def parse_int_strict(x) -> Column:
     """JVM ``toInt`` that drops instead of failing (C05, D18): only an
-    optional sign and digits are accepted, no blanks; out-of-range → NULL."""
+    optional sign and digits are accepted, no blanks; out-of-range → NULL.
+
+    The cast takes nothing else but blanks around: the first and the last character rule these out, and the
+    pattern is asked only where the last one is no digit (it allows an end of line there)."""
     s = _c(x)
-    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
+    plain = F.ascii(F.right(s, F.lit(1))).between(ord("0"), ord("9"))
+    number = F.when(F.ascii(s).between(ord("+"), ord("9")), s.try_cast("int"))
+    return F.when(plain, number).when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
 
 
 def blank_to_null_double(x) -> Column:
