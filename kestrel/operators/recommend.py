@@ -25,7 +25,7 @@ from kestrel.operators.evaluate import mean_user_auc, user_auc
 from kestrel.operators.factors import top_products
 from kestrel.operators.joins import lookup_side
 from kestrel.operators.ranking import dense_index, top_k_per_key
-from kestrel.operators.sampling import k_folds, negative_samples
+from kestrel.operators.sampling import ItemIndex, item_index, k_folds, negative_samples
 from kestrel.session import checkpoint_dir, concurrently, cut_lineage, written
 
 Scorer = Callable[[DataFrame], DataFrame]  # (user, item) pairs -> (user, item, score)
@@ -110,14 +110,14 @@ def popularity_scorer(train: DataFrame) -> Scorer:
     return lambda pairs: popularity_scores(train, pairs)
 
 
-def auc_inputs(held_out: DataFrame, all_items: DataFrame, scorer: Scorer, seed: int):
+def auc_inputs(held_out: DataFrame, all_items: DataFrame | ItemIndex, scorer: Scorer, seed: int):
     """Scored positive rows and scored sampled negatives for ``held_out``."""
     positives = held_out.select("user", "item")
     negatives = negative_samples(positives, all_items, seed).select("user", "item")
     return scorer(positives), scorer(negatives)
 
 
-def evaluate_auc(held_out: DataFrame, all_items: DataFrame, scorer: Scorer, seed: int = 7,
+def evaluate_auc(held_out: DataFrame, all_items: DataFrame | ItemIndex, scorer: Scorer, seed: int = 7,
                  per_user: bool = False) -> DataFrame:
     """Mean per-user AUC of a scorer on held-out ratings."""
     pos, neg = auc_inputs(held_out, all_items, scorer, seed)
@@ -132,10 +132,10 @@ def cross_validated_auc(ratings: DataFrame, all_items: DataFrame, k: int = 10, s
     fit = fit or (lambda train: als_scorer(fit_als(train)))
 
     def fold(i: int, train: DataFrame, valid: DataFrame) -> DataFrame:
-        auc = evaluate_auc(valid, all_items, fit(train), seed=seed + i)
+        auc = evaluate_auc(valid, index, fit(train), seed=seed + i)
         return cut_lineage(auc.select(F.lit(i).alias("fold"), "mean_auc", "users"))
 
-    all_items = written(all_items, "items")
+    index = item_index(written(all_items, "items"))
     folds = [partial(fold, i, *parts) for i, parts in enumerate(k_folds(ratings, k, seed, ["user", "item", "cnt"]))]
     return reduce(DataFrame.unionByName, concurrently(ratings.sparkSession, folds, parallelism))
 

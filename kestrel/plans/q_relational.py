@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from kestrel.operators.evaluate import linkage_score
 from kestrel.operators.joins import anti, lookup_with_default, semi
-from kestrel.operators.sampling import hash_split
+from kestrel.operators.sampling import split_column, split_parts
 from kestrel.operators.stats import histogram, keyed_sum
 from kestrel.plans import derived as D
 from kestrel.plans.derived import oracle
 from kestrel.plans.fixtures import view
 from kestrel.plans.registry import query
+from kestrel.session import written
 
 RATING_SPLIT = (0.9, 0.1)  # fixed values: train / held-out weights of the recommender evaluation
 RATING_SEED = 42
@@ -35,10 +36,11 @@ def rating_split_sql(alias: str = "ratings") -> str:
             "then 0 else 1 end")
 
 
-def rating_split(spark, sf, ratings=None):
-    """Ratings split 90/10 by a hash of the rating line."""
-    r = ratings if ratings is not None else D.ratings(spark, sf)
-    return hash_split(r, RATING_SPLIT, RATING_SEED, ["user", "item", "cnt"])
+def rating_split(spark, sf):
+    """(all, train, held-out) ratings, split 90/10 by a hash of the rating line (X02): parsed, hashed and written once."""
+    parts = split_column(["user", "item", "cnt"], RATING_SPLIT, RATING_SEED)
+    tagged = written(D.ratings(spark, sf).withColumn("_split", parts), "ratings")
+    return tagged.drop("_split"), *split_parts(tagged, len(RATING_SPLIT))
 
 
 # ------------------------------------------------------------------ projections
@@ -173,7 +175,7 @@ from split s left join listens l on s.item = l.item where s.part = 1""", "rating
        "J03 M14 A02 X02")
 def q_popularity_score(spark, sf):
     from kestrel.operators.recommend import popularity_scores
-    train, held = rating_split(spark, sf)
+    _, train, held = rating_split(spark, sf)
     return popularity_scores(train, held.select("user", "item"))
 
 

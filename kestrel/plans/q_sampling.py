@@ -11,7 +11,6 @@ from kestrel.plans import derived as D
 from kestrel.plans.derived import oracle
 from kestrel.plans.q_relational import RATING_SEED, RATING_SPLIT, rating_split, rating_split_sql
 from kestrel.plans.registry import query
-from kestrel.session import written
 from kestrel.sources.tables import load
 
 NEG_SEED = 7  # seed of the negative draws
@@ -95,9 +94,8 @@ per as (select p.fold, p."user", avg(case when p.score > n.score then 1.0 else 0
 
 
 def _held_and_items(spark, sf):
-    # split, item list and scoring all read the ratings: parse them once
-    ratings = written(D.ratings(spark, sf), "ratings")
-    train, held = rating_split(spark, sf, ratings)
+    # split, item list and scoring all read the ratings: parsed and split once
+    ratings, train, held = rating_split(spark, sf)
     return train, held, ratings.select("item").distinct()
 
 
