@@ -26,10 +26,10 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -100,18 +100,19 @@ class WordMemo(dict):
         starts, lens = np.zeros(len(stems), np.int64), np.zeros(len(stems), np.int64)
         flats, at = [], 0
         plain = np.fromiter(map(str.isascii, stems), bool, len(stems))
-        some = np.fromiter(map(len, stems), np.int64, len(stems)) > 0
-        for group in (np.flatnonzero(some & plain), np.flatnonzero(some & ~plain)):
+        chars = np.fromiter(map(len, stems), np.int64, len(stems))
+        for group in (np.flatnonzero((chars > 0) & plain), np.flatnonzero((chars > 0) & ~plain)):
             for begin in range(0, len(group), 2000):
                 which = group[begin:begin + 2000]
-                ids, cuts = self._encoded([stems[i] for i in which.tolist()])
+                ids, cuts = self._encoded([stems[i] for i in which.tolist()], chars[which] if plain[which[0]] else None)
                 starts[which], lens[which] = at + cuts[:-1], np.diff(cuts)
                 flats.append(ids)
                 at += len(ids)
         flat = np.concatenate([*flats, np.zeros(0, np.uint32)])
         first, size = starts[stem], lens[stem]
+        marks = np.frombuffer("".join([m or " " for _, m in parted]).encode(), np.uint8)
         for mark in (".", ","):  # the ids of the stem and of the mark, one after the other
-            own = np.flatnonzero(np.fromiter((m == mark for _, m in parted), bool, len(parted)))
+            own = np.flatnonzero(marks == ord(mark))
             if len(own):
                 end = np.array(self.tokenizer.encode(mark, add_special_tokens=False).ids, np.uint32)
                 n = size[own]
@@ -124,21 +125,23 @@ class WordMemo(dict):
                 flat = np.concatenate([flat, out])
         self._add(flat, first, size)
 
-    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words, and where those of each begin and end."""
+    def _encoded(self, words: list[str], sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, and where those of each begin and end; ``sizes``: their bytes, if known."""
         text = " ".join(words)
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        cuts = self._cuts(ids, words)
+        cuts = self._cuts(ids, words, sizes)
         if cuts is not None:
             return np.array(ids, np.uint32), cuts
         enc = self.tokenizer.encode(text, add_special_tokens=False)
         begins = [o[0] for o in enc.offsets]
         return np.array(enc.ids, np.uint32), np.searchsorted(begins, np.cumsum([0] + [len(s) + 1 for s in words]))
 
-    def _cuts(self, ids: list[int], words: list[str]) -> np.ndarray | None:
+    def _cuts(self, ids: list[int], words: list[str], sizes: np.ndarray | None = None) -> np.ndarray | None:
         """Where the words' ids begin, from the lengths of the tokens; None if these do not add up to the words."""
         ends = np.cumsum(self.sizes[ids])
-        want = np.cumsum(np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in words), np.int64, len(words)))
+        if sizes is None:
+            sizes = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in words), np.int64, len(words))
+        want = np.cumsum(sizes)
         cuts = np.searchsorted(ends, want) + 1
         if ends[-1] != want[-1] or not np.array_equal(ends[cuts - 1], want):
             return None
@@ -162,9 +165,14 @@ class WordMemo(dict):
     def _encode(self, low: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.n_words > MEMO_WORDS:
             self.reset()
-        split = [t.split(" ") for t in low]
-        n = np.fromiter(map(len, split), np.int64, len(split))
-        words = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
+        # the words of all texts are numbered by Arrow, so that each distinct one is looked up once
+        split = pc.split_pattern(pa.array(low, pa.large_string()), " ")
+        n = np.diff(split.offsets.to_numpy()).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        # one text of all of them, as they hold no space: far faster than a Python object from each
+        distinct = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), pa.scalar(" ", pa.large_string()))[0].as_py()
+        own = np.fromiter(map(self.__getitem__, distinct.split(" ")), np.int64) if len(coded.dictionary) else np.zeros(0, np.int64)
+        words = own[coded.indices.to_numpy()]
         if self.new:
             self.learn()
         lens = self.lens[words]
