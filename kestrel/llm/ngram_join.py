@@ -6,7 +6,8 @@ intersection is at least nine tenths of their union; linked documents share a co
 1. Documents of equal sets are one, by a 128-bit digest.  A set is cut into
    as many parts, by a hash of the shingle, as the largest difference of a linked pair of its
    size has shingles, and one part more: linked sets agree in a whole part.  Sets that
-   agree with no other in any part have no partner and go no further.
+   agree with no other in any part have no partner and go no further.  The keys of the parts travel once, in arrays by
+   ranges of their hash, with the sets they are of.
 2. Document counts of all shingles of the others, over all the others, order each set rare first
    (classes of doubling counts, inside a class by hash).  A shingle that no other set has cannot be shared and
    only counts for the positions.
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import batches, bounded, hinted, materialise
+from kestrel.llm.common import batches, bounded, fits, hinted, materialise
 from kestrel.llm.linking import connected
 from kestrel.llm.words import BLANK_WORDS, shingled, word_hashes
 
@@ -47,6 +48,8 @@ SHARE, WHOLE = 9, 10
 #: Bits of a shingle's hash below its rarity class.
 HASH_BITS = 58
 BATCH_BYTES = 4 << 20
+#: Ranges of the keys of parts; within a range 32 more bits of a key count (what agrees by chance is found unlinked later).
+RANGE_BITS = 11
 #: Pivots of a bucket in the first round; a round has four times as many as the one before.
 PIVOTS = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -93,17 +96,51 @@ def _sets(texts: list[str]) -> list[np.ndarray]:
     return [np.unique(x) for x in shingled(*word_hashes(texts, BLANK_WORDS), WIDTH)]
 
 
+def key_ranges(keys: np.ndarray, lows: np.ndarray) -> tuple[np.ndarray, pa.ListArray, pa.ListArray]:
+    """Ranges of the keys and for each its keys, cut to 32 bits, and the sets they are of; equal rows once."""
+    order = np.lexsort((lows, keys))
+    keys, lows = keys[order], lows[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = (keys[1:] != keys[:-1]) | (lows[1:] != lows[:-1])
+    keys, lows = keys[first], lows[first]
+    number, at = np.unique(keys >> np.uint64(64 - RANGE_BITS), return_index=True)
+    offsets = pa.array(np.append(at, len(keys)), pa.int32())
+    cut = (keys >> np.uint64(32 - RANGE_BITS)).astype(np.uint32).view(np.int32)
+    return number.astype(np.int32), pa.ListArray.from_arrays(offsets, pa.array(cut)), pa.ListArray.from_arrays(offsets, pa.array(lows))
+
+
+SETS = "doc_id long, raw binary, id binary, low long, n long, range int, keys array<int>, lows array<long>"
+_NAMES = [c.split()[0] for c in SETS.split(", ")]
+
+
 def _signed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(source, 1000, column=2, chars=BATCH_BYTES):
         sets = _sets(batch.column(2).to_pylist())
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         ids = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         low = [None if d is None else int.from_bytes(d[:8], "little", signed=True) for d in ids]
-        keys, counts = part_keys(np.concatenate([*sets, np.zeros(0, np.uint64)]), sizes)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        rows = batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(low, pa.int64()), pa.array(sizes),
-             pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64)))], ["doc_id", "raw", "id", "low", "n", "parts"])
+             pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.list_(pa.int32())), pa.nulls(rows, pa.list_(pa.int64()))], _NAMES)
+        keys, counts = part_keys(np.concatenate([*sets, np.zeros(0, np.uint64)]), sizes)
+        # rows of the parts have no document of their own
+        number, cut, lows = key_ranges(keys, np.repeat(np.array([x or 0 for x in low], np.int64), counts))
+        rows = len(number)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.int64()),
+             pa.nulls(rows, pa.int64()), pa.array(number), cut, lows], _NAMES)
+
+
+def _sharing(group: pa.Table) -> pa.Table:
+    """The sets of a range of which a key is of another set too."""
+    keys, lows = (group.column(c).combine_chunks().flatten().to_numpy() for c in ("keys", "lows"))
+    order = np.lexsort((lows, keys))
+    keys, lows = keys[order], lows[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    several = lows[begins] != lows[np.append(begins[1:], len(keys)) - 1]
+    found = np.repeat(several, np.diff(np.append(begins, len(keys))))
+    return pa.table({"low": pa.array(np.unique(lows[found]))})
 
 
 def _grams(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,9 +151,8 @@ def _grams(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _open(signed: DataFrame) -> DataFrame:
     """(id, raw, doc_id) of one row of each set that agrees with another set in a part."""
-    parts = signed.select(F.explode("parts").alias("key"), "low")
-    shared = parts.groupBy("key").agg(F.min("low").alias("a"), F.max("low").alias("b")).where("a <> b").select("key")
-    mine = signed.select("id", "raw", "doc_id", F.explode("parts").alias("key")).join(bounded(shared, "shared-parts"), "key", "left_semi")
+    shared = signed.where("range is not null").select("range", "keys", "lows").groupBy("range").applyInArrow(_sharing, "low long")
+    mine = signed.where("id is not null").select("low", "id", "raw", "doc_id").join(bounded(shared.distinct(), "sharing-sets"), "low", "left_semi")
     return mine.groupBy("id").agg(F.min(F.struct("raw", "doc_id")).alias("row")).select("id", "row.*")
 
 
@@ -193,6 +229,9 @@ def _score(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    if fits(pairs):  # only their sets go to the pairs
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = sets.join(hinted(ids, pairs), "id", "left_semi")
     first = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = second.join(first.join(hinted(pairs), "a"), "b")  # the pairs go to the sets
@@ -237,8 +276,10 @@ def link_prefixes(members: DataFrame, sets: DataFrame) -> DataFrame | None:
         if asked:
             pairs = pairs.join(bounded(reduce(DataFrame.unionByName, asked), "asked"), ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
-        asked.append(pairs)
-        good = materialise(_verified(pairs, sets), "links")
+        good = pairs
+        if not pairs.isEmpty():
+            asked.append(pairs)
+            good = materialise(_verified(pairs, sets), "links")
         if not good.isEmpty():
             links.append(good)
             comp = connected(reduce(DataFrame.unionByName, links))
@@ -251,14 +292,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     text = F.coalesce("text", F.lit(""))
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("raw"), text.alias("text"))
-    signed = materialise(inputs.mapInArrow(_signed, "doc_id long, raw binary, id binary, low long, n long, parts array<long>"), "sets")
-    wanted = bounded(_open(signed.where("id is not null")), "open-sets")
+    signed = materialise(inputs.mapInArrow(_signed, SETS), "sets")
+    wanted = bounded(_open(signed), "open-sets")
     same = (F.col("raw") == F.col("wanted_raw")) & F.col("doc_id").eqNullSafe(F.col("wanted_doc"))
     found = inputs.join(wanted.select("id", F.col("raw").alias("wanted_raw"), F.col("doc_id").alias("wanted_doc")), same).select("id", "text")
     grams = materialise(found.mapInArrow(_grams, "id binary, grams array<long>").dropDuplicates(["id"]), "grams")
     sets = materialise(rare_first(grams), "rare-first")
     comp = link_prefixes(materialise(prefix_members(sets), "prefixes"), sets)
-    rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "id")
+    rows = signed.where("range is null").select("doc_id", F.col("n").alias("n_shingles"), "id")
     if comp is not None:
         rows = rows.join(hinted(comp), "id", "left").withColumn("id", F.coalesce("comp", "id"))
     rows = materialise(rows.select("doc_id", "n_shingles", "id"), "roots")

@@ -4,7 +4,10 @@ import re
 import numpy as np
 import pytest
 
-from kestrel.llm.ngram_join import common, jaccard_components, linked, most_shared, part_keys, size_edges
+import pyarrow as pa
+
+from kestrel.llm import ngram_join
+from kestrel.llm.ngram_join import _sharing, common, jaccard_components, key_ranges, linked, most_shared, part_keys, size_edges
 from test_linking import components
 
 SCHEMA = "doc_id long, text string"
@@ -120,3 +123,34 @@ def test_suffix_filter_never_excludes_a_link():
         shared = len(np.intersect1d(a, b))
         assert common(a, b) == shared <= most_shared(a, b)
         assert linked(len(a), a, len(b), b) == (100 * shared >= 90 * (len(a) + len(b) - shared))
+
+
+def test_ranges_of_keys_keep_every_set():
+    rng = np.random.default_rng(7)
+    keys = np.concatenate([rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2), np.array([5, 5, 5, 9, 9, (1 << 64) - 1], np.uint64)])
+    lows = np.concatenate([np.arange(500), [1000, -3, 2000, 77, 77, 8]])
+    number, cut, owners = key_ranges(keys, lows)
+    assert number.tolist() == sorted({int(k) >> 53 for k in keys}) and len(cut) == len(owners) == len(number)
+    assert sorted(zip(cut.flatten().to_pylist(), owners.flatten().to_pylist())).count((0, 77)) == 1
+    first = pa.table({"range": number[:1], "keys": cut.slice(0, 1), "lows": owners.slice(0, 1)})
+    got = set(_sharing(first).column("low").to_pylist())
+    assert number[0] == 0 and {1000, -3, 2000} <= got  # each set of a key, not only two of them
+    other = pa.table({"range": [3, 3], "keys": pa.array([[1, 4], [4, 4, 6]], pa.list_(pa.int32())), "lows": pa.array([[10, 11], [11, 12, 13]], pa.list_(pa.int64()))})
+    assert _sharing(other).column("low").to_pylist() == [11, 12]
+
+
+def test_only_sets_of_pairs_are_shuffled(spark, monkeypatch):
+    """Each round sends the sets of its pairs to them, no others, and a round without pairs none."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(90)) for _ in range(80)) for _ in range(30)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + f" x{i}") for i, t in enumerate(texts[:5])]
+    seen, verified = [], ngram_join._verified
+
+    def recorded(pairs, sets):
+        found = verified(pairs, sets)
+        seen.append((pairs.count(), found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi")))
+        return found
+
+    monkeypatch.setattr(ngram_join, "_verified", recorded)
+    check(spark, docs)
+    assert seen and all(n > 0 and semi == 2 for n, semi in seen), seen
