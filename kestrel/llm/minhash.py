@@ -21,6 +21,12 @@ shuffled by their hash and counted there; the counts of two or more go back to t
 size by a hash of the row, once for each block that holds the shingle.  What does not come back stands in one document.  A text's counts are kept
 with its signature, so that links are verified with the weights its hashes were drawn by.
 
+Copies.  What a group of g copies shares has the weight 1 + ln(N / g), an edited word's shingles have 1 + ln N: as the table and its
+groups grow, one edited word outweighs ever more shared ones, and a near copy falls below any threshold.  So no shingle has an
+inverse document frequency of more than ``LEAD`` times the one in the middle of its text's weight.  What is common keeps its low weight, and
+a text whose weight is mostly its own loses nothing; near copies that differ in few enough shingles (a Jaccard similarity of 0.834,
+``THRESHOLD * LEAD / (1 - THRESHOLD + THRESHOLD * LEAD)``, where what they share weighs alike) are linked however large their group is.
+
 Defined results
     null text: like the empty text; a text without words is in no group (class of its own, by
     ``doc_id``); under five words: one shingle of all words; null ``doc_id``: takes part by its
@@ -54,6 +60,8 @@ FEW = 3
 HASH_BITS, SLACK = 58, 1e-9
 #: Share of the documents from which a shingle's document count is broadcast, not shuffled.
 HEAVY = 0.1
+#: How many times the inverse document frequency in the middle of a text's weight one of its shingles has at most.
+LEAD = 1.25
 #: Characters of the texts of a block, and of those whose shingles a counting task holds (about a sixth as many).
 BLOCK_CHARS, BUCKET_CHARS = 8 << 20, 12 << 20
 #: Shingles that a task sorts before it hands them on.
@@ -117,6 +125,17 @@ class Weights:
             df[hit] = n[at[hit]]
         return df
 
+    def led(self, tf: np.ndarray, df: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Document counts, raised where a shingle's weight would be over ``LEAD`` times the middle one of its text's; texts begin at ``starts``."""
+        sizes = np.diff(np.append(starts, len(df)))
+        order = np.lexsort((-df, np.repeat(np.arange(len(sizes)), sizes)))
+        sums = np.cumsum(self(tf[order], df[order]))
+        before = np.concatenate([[0.0], sums])[starts]
+        half = np.searchsorted(sums, (before + sums[starts + sizes - 1]) / 2)
+        middle = df[order][np.clip(half, starts, starts + sizes - 1)]
+        least = np.floor(self.n_docs * np.exp(1 - LEAD * (1 + np.log(self.n_docs / middle)))).astype(np.int64)
+        return np.maximum(df, np.repeat(least, sizes))
+
     def __call__(self, tf: np.ndarray, df: np.ndarray) -> np.ndarray:
         return (1 + np.log(tf)) * (1 + np.log(self.n_docs / df))
 
@@ -306,7 +325,7 @@ def _signed_docs(weights, bands: int, rows: int, seed: int):
                 h = np.concatenate([vectors[i][0] for i in some])
                 tf = np.concatenate([vectors[i][1] for i in some])
                 starts = np.cumsum(sizes[some]) - sizes[some]
-                df = w.counts(h, known, n)
+                df = w.led(tf, w.counts(h, known, n), starts)
                 picks = sampler.samples(h, w(tf, df), starts).reshape(len(some), bands, rows)
                 band = (picks * band_mix).sum(2) + np.arange(bands)
                 for k, i in enumerate(some):

@@ -220,3 +220,20 @@ def test_a_passage_of_few_documents_weighs_less_than_rare_words(spark, monkeypat
     rows = near_duplicates(spark.createDataFrame([(*d, "x", 1, "y") for d in docs], SCHEMA)).collect()
     assert {r.doc_id: r.class_id for r in rows} == {i: i for i, _ in docs}
     assert len(classes(docs)) == len(docs)
+
+
+def test_near_copies_in_a_large_group_of_copies_are_one_class(spark):
+    # an edited word's shingles weigh 6.9, those of 301 of 381 texts 1.2: by document counts alone a copy has 0.73 with its original
+    base = [f"b{i}" for i in range(96)]
+    docs = [" ".join(base)] + [" ".join(f"e{k}" if i == 4 + k % 88 else w for i, w in enumerate(base)) for k in range(300)]
+    docs += [" ".join(f"o{i}w{k}" for k in range(12)) for i in range(80)]
+    rows = near_duplicates(spark.createDataFrame([(i, t, "x", 1, "y") for i, t in enumerate(docs)], SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in rows} == {i: 0 if i <= 300 else i for i in range(381)}
+
+
+def test_only_weights_far_over_the_middle_of_a_text_are_led():
+    w = Weights(1000, {})
+    df = np.array([1] + [500] * 11 + [1, 1, 1, 500, 500, 7, 40, 1])
+    got = w.led(np.ones(len(df), np.int64), df, np.array([0, 12, 17, 19]))
+    limit = int(1000 * math.exp(1 - minhash.LEAD * (1 + math.log(2))))
+    assert limit > 1 and got.tolist() == [limit] + df[1:].tolist()
