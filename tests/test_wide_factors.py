@@ -35,3 +35,25 @@ def test_wide_models_are_those_of_the_library(spark, monkeypatch):
     pairs = data.select("user", "item").distinct().unionByName(spark.createDataFrame([(999, 1)], "user long, item long"))
     p, q = ({(r.user, r.item): r.score for r in rec.als_scorer(m)(pairs).collect()} for m in (plain, wide))
     assert p.keys() == q.keys() and all(p[k] == pytest.approx(q[k], abs=1e-4) for k in p)
+
+
+def test_rows_are_read_by_their_places(tmp_path, monkeypatch):
+    monkeypatch.setattr(wide_factors, "GAP", 2)
+    rng = np.random.default_rng(1)
+    files = wide_factors.Files(f"file://{tmp_path}/new", [], 3)
+    saved = [(np.sort(rng.choice(1000, n, replace=False)), rng.normal(size=(n, 3)).astype(np.float32)) for n in (1, 40, 7)]
+    files.names += [files.save(*saved[0]), "", files.save(*saved[1]), files.save(*saved[2])]
+    assert all((a == b).all() for name, want in zip([n for n in files.names if n], saved) for a, b in zip(files.load(name), want))
+    by_block = {0: saved[0][1], 2: saved[1][1], 3: saved[2][1]}
+    block = rng.choice([0, 2, 3], 200)
+    place = np.array([rng.integers(len(by_block[b])) for b in block])
+    rows, at = files.rows(block, place)
+    assert len(rows) == len(set(zip(block, place))) and all((rows[k] == by_block[b][p]).all() for k, b, p in zip(at, block, place))
+
+
+def test_factors_are_not_shuffled(spark, monkeypatch):
+    data = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(9) if (u + i) % 3], "user int, item int, rating double")
+    monkeypatch.setattr(rec, "WIDE", 4)
+    model = rec.fit_als(data, rank=4, max_iter=2, blocks=2)
+    scored = model.model.transform(data.select("user", "item"))
+    assert "features" not in scored._jdf.queryExecution().toString() and scored.count() == data.count()
