@@ -59,3 +59,18 @@ def test_folds_and_settings_leave_no_tables(spark, monkeypatch, side_by_side):
     left = {f.rsplit("-", 1)[0] for f in tables(spark) - seen}
     assert not left & {"kestrel-als", "kestrel-levels"} and sum("kestrel-positives" in f for f in tables(spark) - seen) == 1
     assert folds.count() == 3 and grid.count() == 2
+
+
+def test_blocks_grow_with_the_ratings(spark, monkeypatch):
+    data, made = ratings(spark), []
+
+    class Recorded(rec.ALS):
+        def __init__(self, **kw):
+            made.append(kw["numUserBlocks"])
+            super().__init__(**kw)
+
+    monkeypatch.setattr(rec, "ALS", Recorded)
+    monkeypatch.setattr(rec, "BLOCK_RATINGS", 10)
+    model = rec.fit_als(data, rank=2, max_iter=1)
+    assert made[0] >= data.count() / 10
+    assert rec.als_scorer(model)(data.select("user", "item")).count() == data.count()
